@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = (
-    "projections", "joins", "aggregates", "windows", "scalars", "quality",
+    "projections", "joins", "aggregates", "windows", "scalars", "features", "streams", "changes", "quality", "reports", "models", "scans",
 )
 
 

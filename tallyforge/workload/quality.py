@@ -31,10 +31,9 @@ def missing(t):
 
 @query(
     "dq03_outliers_iqr",
-    """WITH q AS (SELECT quantile_disc(balance, 0.25) AS q1, quantile_disc(balance, 0.75) AS q3 FROM customers)
-       SELECT customer_id, balance, (balance < q1 - 1.5 * (q3 - q1) OR balance > q3 + 1.5 * (q3 - q1)) AS is_outlier
-       FROM (SELECT customer_id, CASE WHEN customer_id % 50 = 0 THEN balance * 9 ELSE balance END AS balance,
-                    balance AS plain FROM customers) c, (SELECT quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3
+    """SELECT customer_id, balance, (balance < q1 - 1.5 * (q3 - q1) OR balance > q3 + 1.5 * (q3 - q1)) AS is_outlier
+       FROM (SELECT customer_id, CASE WHEN customer_id % 50 = 0 THEN balance * 9 ELSE balance END AS balance
+             FROM customers) c, (SELECT quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3
              FROM (SELECT CASE WHEN customer_id % 50 = 0 THEN balance * 9 ELSE balance END AS b FROM customers))""",
     "customers",
 )
