@@ -30,16 +30,22 @@ def split_by_key(df: DataFrame, *keys: str, test_tenths: int = 2) -> tuple[DataF
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int, depth: int) -> PipelineModel:
-    """Random-forest regression on numeric columns."""
+    """Random-forest regression on numeric columns.
+
+    Every tree level is a pass over the rows, so they are spread evenly first. More
+    memory for the split statistics lets one pass serve more tree nodes.
+    """
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = train.select(*features, label).repartition(partitions)
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="_features"),
             RandomForestRegressor(
                 featuresCol="_features", labelCol=label, predictionCol="prediction",
-                numTrees=trees, maxDepth=depth, seed=SEED,
+                numTrees=trees, maxDepth=depth, seed=SEED, maxMemoryInMB=1024,
             ),
         ]
-    ).fit(train)
+    ).fit(spread)
 
 
 def compare_forests(df: DataFrame, label: str, keys: Sequence[str], models=None) -> DataFrame:

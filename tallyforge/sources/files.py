@@ -18,14 +18,16 @@ def with_rescue(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
 
 
-def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# The parser has to look at whole lines, also when a query uses few columns.
+RESCUE_OPTIONS = {"columnNameOfCorruptRecord": RESCUED, "columnPruning": "false"}
+
+
+def read_csv_rescued(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> DataFrame:
     """CSV where a malformed line is kept whole in _rescued instead of being lost."""
-    return (
-        spark.read.option("header", True)
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .schema(with_rescue(schema))
-        .csv(path)
-    )
+    reader = spark.read.options(**RESCUE_OPTIONS).option("header", header)
+    return reader.schema(with_rescue(schema)).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

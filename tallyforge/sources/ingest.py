@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyforge.sources.files import RESCUED, with_lineage, with_rescue
+from tallyforge.sources.files import RESCUE_OPTIONS, with_lineage, with_rescue
 
 # The columns and types of order files.
 ORDER_SCHEMA = (
@@ -18,13 +18,8 @@ ORDER_SCHEMA = (
 def stream_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """CSV files with every column as a string, the raw line of misfits, and lineage."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (
-        spark.readStream.option("header", True)
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .schema(with_rescue(schema))
-        .csv(path)
-    )
-    return with_lineage(raw)
+    reader = spark.readStream.options(**RESCUE_OPTIONS).option("header", True)
+    return with_lineage(reader.schema(with_rescue(schema)).csv(path))
 
 
 def stream_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -128,9 +128,8 @@ def rescue(t):
     misfit = F.concat(line, F.lit(",one,too,many"))
     t.nation.select(F.when(F.col("n_nationkey") % 4 == 0, misfit).otherwise(line).alias("value")).write.text(path)
     schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("name", T.StringType())])
-    # One file per task and no header line in any of them.
-    rows = t.spark.read.option("columnNameOfCorruptRecord", files.RESCUED).schema(files.with_rescue(schema)).csv(path)
-    return rows.select("key", files.RESCUED).agg(F.count("*").alias("rows_read"), F.count(files.RESCUED).alias("rescued"))
+    rows = files.read_csv_rescued(t.spark, path, schema, header=False)
+    return rows.agg(F.count("key").alias("rows_read"), F.count(files.RESCUED).alias("rescued"))
 
 
 @query("src15_lineage", "SELECT 'events.parquet' AS file, count(*) AS row_count FROM events")

@@ -212,7 +212,7 @@ def upserted(t):
     "sm13_three_layers",
     """SELECT strftime(week_start, '%Y-%m-%d') AS week_start, departures, arrivals FROM (
          WITH c AS (SELECT *, try_cast(started_at AS TIMESTAMP) AS started, try_cast(ended_at AS TIMESTAMP) AS ended FROM trips_raw
-                    WHERE start_station_name IS NOT NULL),
+                    WHERE start_station_name IS NOT NULL AND start_lat::DOUBLE <= 90 AND end_lat::DOUBLE <= 90),
               g AS (SELECT * FROM c WHERE epoch(ended) - epoch(started) > 0)
          SELECT coalesce(d.w, a.w) AS week_start, coalesce(d.n, 0) AS departures, coalesce(a.n, 0) AS arrivals
          FROM (SELECT date_trunc('week', started) AS w, count(*) AS n FROM g WHERE start_station_name = 'NATION_3' GROUP BY 1) d
