@@ -252,7 +252,7 @@ def column_statistics(t):
        WHERE word <> '' GROUP BY 1""",
 )
 def word_count(t):
-    return aggregates.word_counts(t.documents, "text")
+    return aggregates.word_counts(t.wide("documents"), "text")
 
 
 @query(
@@ -261,7 +261,7 @@ def word_count(t):
          SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1, 2""",
 )
 def exploded_words(t):
-    exploded = t.documents.select("lang", F.explode(F.split("text", " ")).alias("word"))
+    exploded = t.wide("documents").select("lang", F.explode(F.split("text", " ")).alias("word"))
     return exploded.groupBy("lang", "word").agg(F.count("*").alias("uses"))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.operators.layout import spread_out
 from tallyforge.session import tune
 
 BASE_TABLES = (
@@ -157,6 +158,7 @@ def _texts(d) -> dict[str, str]:
     }
 
 
+HEAVY = ("trips_raw", "taxi", "posts")
 SPARK_TEXTS = _texts(_Spark)
 SQL_TEXTS = _texts(_Sql)
 
@@ -171,6 +173,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def wide(self, name: str) -> DataFrame:
+        """A test table spread over the cores."""
+        return spread_out(getattr(self, name))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(self.path(name))
@@ -178,7 +184,8 @@ class Tables:
             raise AttributeError(name)
         used = [t for t in BASE_TABLES if t in SPARK_TEXTS[name].replace(",", " ").split()]
         with_frames = SPARK_TEXTS[name]
-        views = {t: self.spark.read.parquet(self.path(t)) for t in used}
+        # These are costly to derive, and the test files hold one row group each.
+        views = {t: self.wide(t) if name in HEAVY and t in ("lineitem", "documents") else getattr(self, t) for t in used}
         header = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in used)
         return self.spark.sql(f"WITH {header} {with_frames}", **views)
 
