@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.operators.aggregates import percentiles
 from tallyforge.operators.totals import with_totals
+from tallyforge.session import ensure_checkpoint_dir
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: Sequence[int] = (0, 1)) -> DataFrame:
@@ -24,9 +25,11 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: Sequenc
 def classification_report(df: DataFrame, truth: str, predicted: str, names: Sequence[str]) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and weighted averages.
 
-    Class i is called names[i]. The data is read once; the rest works on one row per class pair.
+    Class i is called names[i]. The data is read once: the count per pair of classes is
+    written, and the rest works on those few rows.
     """
-    cells = confusion_matrix(df, truth, predicted, range(len(names)))
+    ensure_checkpoint_dir(df.sparkSession)
+    cells = confusion_matrix(df, truth, predicted, range(len(names))).coalesce(1).checkpoint()
     per_class = cells.groupBy(F.col(truth).alias("class")).agg(
         F.sum("count").alias("support"),
         F.sum(F.when(F.col(truth) == F.col(predicted), F.col("count")).otherwise(0)).alias("hits"),
