@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.operators.skew import salted_join
+from tallyforge.operators.skew import hot_key_hashes, salted_join
 
 
 def update_where(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:
@@ -56,7 +56,9 @@ def merge_into(
     for key in keys:
         has_keys = has_keys & F.col(key).isNotNull()
     unique = _unique_source(source.filter(has_keys), keys)
-    matched = salted_join(target, unique, keys, spread_by or target.columns, how="left")
+    spread_by = spread_by or target.columns
+    hot = hot_key_hashes(target, keys)
+    matched = salted_join(target, unique, keys, spread_by, how="left", hot=hot)
     kept = matched.select(
         *[
             F.when(F.col("_source").isNotNull(), F.col("_source").getField(c).cast(target.schema[c].dataType))
@@ -65,8 +67,9 @@ def merge_into(
             for c in target.columns
         ]
     )
-    target_keys = target.select(*keys).distinct()
-    new = unique.join(target_keys, list(keys), "left_anti").select("_source.*")
+    # Only keys that occur in the source are collected from the target.
+    taken = salted_join(target, unique.select(*keys), keys, spread_by, how="left_semi", hot=hot)
+    new = unique.join(taken.select(*keys).distinct(), list(keys), "left_anti").select("_source.*")
     keyless = source.filter(~has_keys)
     inserted = new.select(*target.columns).unionByName(keyless.select(*target.columns))
     return kept.unionByName(inserted)

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyforge.operators.skew import salted_join
+
 
 def join_with(left: DataFrame, right: DataFrame, condition: Column, right_columns: Mapping[str, str],
               how: str = "inner") -> DataFrame:
@@ -17,13 +19,19 @@ def join_with(left: DataFrame, right: DataFrame, condition: Column, right_column
     return left.alias("l").join(right.alias("r"), condition, how).select("l.*", *picked)
 
 
-def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def without_match(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Rows of `left` whose key does not occur in `right`, NULL keys included.
 
     Only the distinct keys of `right` travel, so repeated keys there cost nothing.
+    With `spread_by`, columns that tell the rows of one key apart, keys that repeat
+    a lot in `left` are spread over tasks.
     """
-    keys = right.select(F.col(right_key).alias("_key")).filter("_key IS NOT NULL").distinct()
-    return left.join(keys, left[left_key] == F.col("_key"), "left_anti")
+    keys = right.select(F.col(right_key).alias(left_key)).dropna().distinct()
+    if spread_by:
+        return salted_join(left, keys, [left_key], spread_by, "left_anti").select(*left.columns)
+    return left.join(keys, left_key, "left_anti").select(*left.columns)
 
 
 def merge_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], counts: Sequence[str],

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# The sketch tracks this many keys; at least 1% of the rows is then always found.
-_TRACKED_KEYS = 10_000
+# The sketch tracks this many keys, so a key with half a percent of the rows is always found.
+_TRACKED_KEYS = 2_000
 _MAX_HOT_KEYS = 200
 
 
@@ -38,6 +38,7 @@ def salted_join(
     how: str = "inner",
     share: float = 0.01,
     salts: int = 32,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join on `keys`, spreading the hot keys of `left` over `salts` tasks.
 
@@ -45,11 +46,12 @@ def salted_join(
     rows of one key apart, such as an id), and the matching rows of `right` are
     repeated once per salt. Other rows are not touched. Use it where the right
     side is an aggregate on the join key: adaptive execution splits skew only
-    between two plain shuffles.
+    between two plain shuffles. `hot` takes the result of `hot_key_hashes` when
+    it is already known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat rows of the salted right side")
-    hot = hot_key_hashes(left, keys, share)
+    hot = hot_key_hashes(left, keys, share) if hot is None else list(hot)
     if not hot:
         return left.join(right, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)

@@ -38,9 +38,16 @@ def build_session(app: str = "tallyforge", cores: int | None = None, **conf: str
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on. Partition counts stay the cluster's choice."""
+    """Apply the settings the operators rely on.
+
+    On a cluster the number of shuffle partitions stays as it is set. In local mode
+    Spark's default is replaced by the number of cores.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    partitions = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
+        spark.conf.set(partitions, spark.sparkContext.defaultParallelism)
     return spark
 
 

@@ -9,18 +9,21 @@ from tallyforge.sources.ingest import stream_parquet
 
 
 def write_ordered_batches(
-    df: DataFrame, path: str, time: str, unique: str, batches: int = 5, files: int = 1
-) -> None:
+    df: DataFrame, path: str, time: str, unique: str, batches: int = 5, rows_per_file: int = 1_000_000
+) -> int:
     """Cut the table into batches by time and write them as folders batch=0, batch=1, ... in that order.
 
-    Each folder gets `files` files of equal size: one trigger of `replay` then reads one folder.
+    Every folder gets the same number of files of equal size. Returns that number:
+    with as many files per trigger, `replay` reads one folder after the other.
     """
+    files = max(1, df.count() // batches // rows_per_file)
     cut = ordered_batches(df, batches, F.col(time), F.col(unique))
     for batch in range(batches):
         part = cut.filter(F.col("batch_id") == batch).repartition(files)
         part.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return files
 
 
 def replay(spark: SparkSession, path: str, schema: T.StructType, files: int = 1) -> DataFrame:
-    """Stream over the folders of `write_ordered_batches`, one folder per trigger."""
+    """Stream over the folders of `write_ordered_batches`, `files` files per trigger."""
     return stream_parquet(spark, f"{path}/batch=*", schema, max_files=files)

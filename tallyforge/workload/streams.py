@@ -201,8 +201,8 @@ def three_queries(t):
 def upserted(t):
     """Events arrive in five time-ordered batches; the table keeps each user's newest."""
     base = shared_dir(t.spark, "upsert")
-    replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id")
-    stream = replay.replay(t.spark, f"{base}/in", t.events.schema)
+    files = replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id")
+    stream = replay.replay(t.spark, f"{base}/in", t.events.schema, files)
     newest = [F.desc("ts"), F.desc("event_id")]
     runners.finish(upsert.upsert_stream(stream, f"{base}/table", f"{base}/checkpoint", ["user_id"], newest))
     return snapshots.read_version(t.spark, f"{base}/table").select("user_id", "event_id", "event_type", "value")
@@ -267,7 +267,7 @@ def across_keys(t):
 def replayed(t):
     """In five batches in time order, the windows are the same as in one batch: nothing is late."""
     base = shared_dir(t.spark, "replay")
-    replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id")
-    late = metrics.with_lateness(replay.replay(t.spark, f"{base}/in", t.events.schema), "ts")
+    files = replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id")
+    late = metrics.with_lateness(replay.replay(t.spark, f"{base}/in", t.events.schema, files), "ts")
     closed = appended(t, metrics.windowed_totals(late, "ts", ["event_type"], "value"))
     return closed.select(stamp("window_start").alias("window_start"), "event_type", "transaction_count")

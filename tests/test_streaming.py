@@ -118,7 +118,8 @@ def test_upsert_keeps_the_newest_and_skips_a_repeated_batch(spark, rows, tmp_pat
 def test_replayed_batches_are_in_time_order(spark, tmp_path):
     path = str(tmp_path / "in")
     table = sales(spark, [50, 10, 40, 30, 20, 60, 70])
-    replay.write_ordered_batches(table, path, "at", "id", batches=3)
+    assert replay.write_ordered_batches(table, path, "at", "id", batches=3) == 1
+    assert replay.write_ordered_batches(table, str(tmp_path / "two"), "at", "id", batches=3, rows_per_file=1) == 2
     spans = [
         spark.read.parquet(f"{path}/batch={b}").agg(F.min("at"), F.max("at"), F.count("*")).first() for b in range(3)
     ]
