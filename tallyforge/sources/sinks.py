@@ -37,14 +37,19 @@ def write_lines(df: DataFrame, path: str, separator: str = ",") -> None:
     df.select(F.concat_ws(separator, *fields).alias("value")).write.mode("overwrite").text(path)
 
 
-def create_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    """Create an empty typed table, and its schema, unless it exists."""
+def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:
+    """Create an empty typed table, and its schema, unless it exists; at `path` if given."""
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
+        writer = spark.createDataFrame([], schema).write.format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_table(df: DataFrame, name: str, mode: str = "append") -> None:
-    """Append to, or overwrite, a catalog table; columns are matched by position in append."""
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    """Append to, or overwrite, a catalog table; an append matches columns by name."""
+    if mode == "append":
+        df = df.select(*df.sparkSession.table(name).columns)
+        df.write.insertInto(name)
+    else:
+        df.write.mode(mode).format("parquet").saveAsTable(name)

@@ -383,3 +383,22 @@ def discount(t):
 def discount_column(t):
     spent = t.transactions.groupBy("customer_id").agg((F.sum("amount") / 20000).alias("spent"))
     return spent.select("customer_id", r(scores.tiered_discount("spent"), 5).alias("total_discount"))
+
+
+@query(
+    "ud18_python_equals_builtin",
+    "SELECT count(*) AS row_count, 0::BIGINT AS differing FROM transactions",
+    "transactions",
+)
+def python_equals_builtin(t):
+    """The same classes from a Python function and from columns."""
+
+    def amount_class(amount):
+        if amount is None:
+            return "unknown"
+        return "high" if amount > 1000 else "medium" if amount > 100 else "low"
+
+    as_python = register_python(t.spark, "amount_class_py", amount_class, "string")
+    scaled = t.transactions.select((F.col("amount") / 300).alias("amount"))
+    both = scaled.select(as_python("amount").alias("p"), tiers.amount_class("amount").alias("b"))
+    return both.agg(F.count("*").alias("row_count"), F.count_if(~F.col("p").eqNullSafe(F.col("b"))).alias("differing"))

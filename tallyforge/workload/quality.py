@@ -1,6 +1,6 @@
 """Data-quality jobs."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tallyforge.operators import evaluation, quality
 from tallyforge.plans import taxi
@@ -29,6 +29,28 @@ def missing(t):
     return rounded(quality.missing_values(profiled(t)), missing_pct=6)
 
 
+@query(
+    "dq02_schema_check",
+    """SELECT "column", uncastable FROM (
+         SELECT count(*) FILTER (WHERE started_at IS NOT NULL AND try_cast(started_at AS TIMESTAMP) IS NULL) AS started_at,
+                count(*) FILTER (WHERE start_lat IS NOT NULL AND try_cast(start_lat AS DOUBLE) IS NULL) AS start_lat,
+                count(*) FILTER (WHERE ride_id IS NOT NULL AND try_cast(ride_id AS INT) IS NULL) AS ride_id FROM trips_raw)
+       UNPIVOT (uncastable FOR "column" IN (started_at, start_lat, ride_id))
+       UNION ALL SELECT 'differences', 4""",
+    "trips_raw",
+)
+def schema_check(t):
+    """Values that do not fit the expected types, and how many columns differ from the expected schema."""
+    expected = T.StructType(
+        [T.StructField("started_at", T.TimestampType()), T.StructField("start_lat", T.DoubleType()),
+         T.StructField("ride_id", T.IntegerType()), T.StructField("payment", T.StringType())]
+    )
+    raw = t.trips_raw.select("started_at", "start_lat", "ride_id")
+    differences = F.lit(len(quality.schema_differences(raw, expected))).cast("long")
+    uncastable = quality.uncastable_values(raw, expected)
+    return uncastable.union(uncastable.limit(1).select(F.lit("differences"), differences))
+
+
 @query(
     "dq03_outliers_iqr",
     """SELECT customer_id, balance, (balance < q1 - 1.5 * (q3 - q1) OR balance > q3 + 1.5 * (q3 - q1)) AS is_outlier

@@ -70,6 +70,17 @@ def table_scan(t):
     return t.spark.table("orders_table").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
 
 
+@query(
+    "src07_in_memory",
+    "SELECT n_nationkey::BIGINT AS id, n_name, CASE n_regionkey WHEN 0 THEN 'first' WHEN 1 THEN 'second' END AS label FROM nation WHERE n_regionkey < 2",
+)
+def in_memory(t):
+    """A range and a few literal rows, joined with a table."""
+    labels = t.spark.createDataFrame([(0, "first"), (1, "second")], "n_regionkey INT, label STRING")
+    numbers = t.spark.range(0, 1000, numPartitions=4)
+    return numbers.join(t.nation, F.col("id") == F.col("n_nationkey")).join(labels, "n_regionkey").select("id", "n_name", "label")
+
+
 @query("src09_current_state", "SELECT p_partkey, p_size FROM part WHERE p_size <= 25")
 def current_state(t):
     path = shared_dir(t.spark, "state")
@@ -212,6 +223,16 @@ def temp_view(t):
     return t.spark.sql("SELECT c_mktsegment, count(*) AS customers FROM customer_view GROUP BY c_mktsegment")
 
 
+@query("snk11_typed_table", "SELECT n_nationkey::BIGINT AS key, n_name AS name FROM nation")
+def typed_table(t):
+    path = shared_dir(t.spark, "typed")
+    name = "typed_" + path.rsplit("-", 1)[-1]
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.StringType())])
+    sinks.create_table(t.spark, name, schema, path)
+    sinks.write_table(t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key")), name)
+    return t.spark.table(name)
+
+
 @query("pt01_repartition", "SELECT 16 AS partitions, count(*) AS row_count FROM events UNION ALL SELECT 4, count(*) FROM events")
 def repartition(t):
     up = t.events.repartition(16)

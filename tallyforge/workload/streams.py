@@ -88,6 +88,26 @@ def available_now(t):
     )
 
 
+@query(
+    "sm02_late_rows",
+    """WITH first AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events WHERE event_id % 10 > 0),
+       kept AS (SELECT date_trunc('hour', ts) AS w FROM events, first
+                WHERE event_id % 10 > 0 OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark)
+       SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS transaction_count FROM kept
+       WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1""",
+)
+def late_rows(t):
+    """Every tenth event arrives after all others: those of closed hours come too late and are dropped."""
+    base = shared_dir(t.spark, "late")
+    for part in ("event_id % 10 > 0", "event_id % 10 = 0"):
+        sinks.write_files(t.events.filter(part), f"{base}/in", mode="append")
+        stream = ingest.stream_parquet(t.spark, f"{base}/in", t.events.schema)
+        windows = metrics.windowed_totals(metrics.with_lateness(stream, "ts"), "ts", [], "value")
+        runners.finish(runners.append_to_files(windows, f"{base}/data", f"{base}/checkpoint"))
+    closed = t.spark.read.parquet(f"{base}/data")
+    return closed.select(stamp("window_start").alias("window_start"), "transaction_count")
+
+
 @query(
     "sm03_hourly_windows",
     f"SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n AS transaction_count, round(s, 2) AS total_sales, round(a, 6) AS avg_transaction_value FROM ({CLOSED_HOURS})",
@@ -271,3 +291,30 @@ def replayed(t):
     late = metrics.with_lateness(replay.replay(t.spark, f"{base}/in", t.events.schema, files), "ts")
     closed = appended(t, metrics.windowed_totals(late, "ts", ["event_type"], "value"))
     return closed.select(stamp("window_start").alias("window_start"), "event_type", "transaction_count")
+
+
+@query("sm11_progress", "SELECT count(*) AS input_rows, count(*) AS observed_rows, false AS still_active FROM events")
+def followed(t):
+    """What a finished query reports about itself."""
+    base = shared_dir(t.spark, "followed")
+    watched = event_stream(t).observe("seen", F.count("*").alias("n"))
+    query = runners.finish(runners.append_to_files(watched.select("event_id"), f"{base}/data", f"{base}/checkpoint", name="followed"))
+    records = runners.progress(query)
+    observed = sum(record["observed"]["seen"]["n"] for record in records if record["observed"])
+    facts = (sum(record["input_rows"] for record in records), observed, query.isActive)
+    return t.spark.createDataFrame([facts], "input_rows LONG, observed_rows LONG, still_active BOOLEAN")
+
+
+@query("sm16_update_mode", "SELECT user_id, count(*) AS row_count FROM events GROUP BY 1")
+def update_mode(t):
+    """Each trigger sends the keys it changed; the last value sent per key is the total."""
+    base = shared_dir(t.spark, "updates")
+    files = replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id", batches=3)
+    counts = replay.replay(t.spark, f"{base}/in", t.events.schema, files).groupBy("user_id").agg(F.count("*").alias("n"))
+
+    def save(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/data/batch={batch_id}")
+
+    runners.finish(runners.update_with(counts, save, f"{base}/checkpoint"))
+    sent = t.spark.read.parquet(f"{base}/data")
+    return sent.groupBy("user_id").agg(F.max_by("n", "batch").alias("row_count"))

@@ -227,3 +227,13 @@ def calendar_order(t):
         .agg(r(F.sum("total_price")).alias("total_revenue"))
         .orderBy("day_number")
     )
+
+
+@query(
+    "st04_count_and_preview",
+    "SELECT count(*) AS row_count, least(count(*), 5) AS previewed FROM lineitem",
+)
+def count_and_preview(t):
+    """The preview stays lazy and bounded; nothing is collected."""
+    preview = t.lineitem.limit(5).agg(F.count("*").alias("previewed"))
+    return t.lineitem.agg(F.count("*").alias("row_count")).select("row_count", preview.scalar().alias("previewed"))

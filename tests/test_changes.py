@@ -111,6 +111,9 @@ def test_without_match_ignores_missing_keys_on_the_right(spark, rows):
     left = spark.createDataFrame([(1,), (2,), (None,)], "a INT")
     right = spark.createDataFrame([(2,), (2,), (None,)], "b INT")
     assert rows(joins.without_match(left, right, "a", "b")) == [(1,), (None,)]
+    many = spark.range(2000).select("id", F.when(F.col("id") > 9, 10).otherwise(F.col("id")).alias("a"))
+    some = spark.createDataFrame([(3,), (11,)], "b LONG")
+    assert joins.without_match(many, some, "a", "b", spread_by=["id"]).count() == 1999
 
 
 def test_merge_counts_fills_zero(spark, rows):

@@ -34,7 +34,7 @@ def test_group_limits_apply_before_the_shuffle(tables, name):
 
 
 # Queries whose SQL feature is Python code; no other may start Python workers.
-PYTHON = {"ud05_from_sql", "pt02_partition_sizes"}
+PYTHON = {"ud05_from_sql", "ud18_python_equals_builtin", "pt02_partition_sizes"}
 # Streams and models run while they are built.
 EAGER = ("sm", "snk0", "ml", "ud19", "src1", "mu06", "mu08", "mu09", "pt04")
 
