@@ -24,11 +24,6 @@ def without_mentions(text: str) -> Column:
     return F.regexp_replace(text, STRIPPED_MENTION, "")
 
 
-def words(text: str) -> Column:
-    """Words between white space, without empty ones."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
-
-
 def _hits(text: Column, lexicon: tuple[str, ...]) -> Column:
     return sum((F.contains(text, F.lit(word)).cast("int") for word in lexicon), F.lit(0))
 
@@ -40,17 +35,13 @@ def text_features(text: str) -> Column:
     positive minus negative, per word. Entities: words with a capital first
     letter. Complexity: mean word length / 10. Zeros for a missing or empty text.
     """
-    parts = words(text)
-    lowered = F.lower(text)
-    number = F.size(parts)
-    letters = F.aggregate(parts, F.lit(0), lambda total, w: total + F.length(w))
-    capital = F.size(F.filter(parts, lambda w: w.rlike(r"^\p{Lu}")))
-    score = (_hits(lowered, POSITIVE_WORDS) - _hits(lowered, NEGATIVE_WORDS)) / F.greatest(number, F.lit(1))
-    blank = F.col(text).isNull() | (F.col(text) == "")
+    present = F.coalesce(F.col(text), F.lit(""))
+    lowered = F.lower(present)
+    number = F.greatest(F.regexp_count(present, F.lit(r"\S+")), F.lit(1))
+    letters = F.length(F.regexp_replace(present, r"\s+", ""))
+    score = _hits(lowered, POSITIVE_WORDS) - _hits(lowered, NEGATIVE_WORDS)
     return F.struct(
-        F.when(blank, 0.0).otherwise(score).alias("sentiment_score"),
-        F.when(blank, 0).otherwise(capital).alias("entity_count"),
-        F.when(blank, 0.0)
-        .otherwise(F.coalesce(F.try_divide(letters, number) / 10, F.lit(0.0)))
-        .alias("complexity_score"),
+        (score / number).alias("sentiment_score"),
+        F.regexp_count(present, F.lit(r"(?<!\S)\p{Lu}")).alias("entity_count"),
+        (letters / number / 10).alias("complexity_score"),
     )

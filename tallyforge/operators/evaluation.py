@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.operators.aggregates import percentiles
 from tallyforge.operators.totals import with_totals
-from tallyforge.session import ensure_checkpoint_dir
+from tallyforge.session import stored
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: Sequence[int] = (0, 1)) -> DataFrame:
@@ -28,8 +28,8 @@ def classification_report(df: DataFrame, truth: str, predicted: str, names: Sequ
     Class i is called names[i]. The data is read once: the count per pair of classes is
     written, and the rest works on those few rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    cells = confusion_matrix(df, truth, predicted, range(len(names))).coalesce(1).checkpoint()
+    matrix = confusion_matrix(df, truth, predicted, range(len(names)))
+    cells = stored(matrix, "confusion")
     per_class = cells.groupBy(F.col(truth).alias("class")).agg(
         F.sum("count").alias("support"),
         F.sum(F.when(F.col(truth) == F.col(predicted), F.col("count")).otherwise(0)).alias("hits"),

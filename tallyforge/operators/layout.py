@@ -36,14 +36,14 @@ def by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
 
 
 def spread_out(scan: DataFrame) -> DataFrame:
-    """Even partitions for a file scan that has far fewer of them than there are cores.
+    """Even partitions for a file scan that has fewer of them than there are cores.
 
     For CPU-heavy work on a few large row groups. A table with enough splits is
     returned as it is, without a shuffle. Pass a plain scan: its partitions are
     known before anything runs.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 4 <= cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def bucket_of(df: DataFrame, parts: int, *keys: str, name: str = "bucket") -> DataFrame:

@@ -11,7 +11,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyforge.session import ensure_checkpoint_dir
+from tallyforge.session import stored
 
 # monotonically_increasing_id keeps the partition above bit 33, the position below.
 _POSITION_BITS = 33
@@ -20,20 +20,18 @@ _POSITION_BITS = 33
 def _sorted_slices(df: DataFrame, order: list[Column]) -> DataFrame:
     """Range-partitioned and sorted copy of `df` with columns _slice and _pos, written once.
 
-    The checkpoint fixes which row lies in which slice, also when an executor is lost.
+    Writing it fixes which row lies in which slice, also when an executor is lost.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = (
         df.repartitionByRange(slices, *order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_slice", F.shiftright("_id", _POSITION_BITS).cast("int"))
         .withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
         .drop("_id")
-        .checkpoint()
     )
+    return stored(laid, "slices")
 
 
 def _with_offsets(laid: DataFrame, weight: Column) -> tuple[DataFrame, int]:

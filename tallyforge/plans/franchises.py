@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.functions.tiers import payment_category
 from tallyforge.operators.totals import with_totals
-from tallyforge.session import ensure_checkpoint_dir
+from tallyforge.session import stored
 
 
 def revenue_by_weekday(sales: DataFrame, pattern: str = "E") -> DataFrame:
@@ -17,13 +17,13 @@ def revenue_by_weekday(sales: DataFrame, pattern: str = "E") -> DataFrame:
 
 def executive_report(sales: DataFrame, franchises: DataFrame, top: int = 5) -> DataFrame:
     """The largest franchises by revenue, with the most used payment category and the best weekday overall."""
-    ensure_checkpoint_dir(sales.sparkSession)
     # At most 14 rows per franchise: written once, then three aggregates are read from them.
-    cells = sales.groupBy(
+    grouped = sales.groupBy(
         "franchise_id",
         payment_category("payment_method").alias("category"),
         F.date_format("sold_at", "EEEE").alias("day"),
-    ).agg(F.sum("total_price").alias("revenue"), F.count("*").alias("n")).checkpoint()
+    ).agg(F.sum("total_price").alias("revenue"), F.count("*").alias("n"))
+    cells = stored(grouped, "franchise-cells")
     popular = (
         cells.groupBy("category").agg(F.sum("n").alias("n"))
         .agg(F.max_by(F.col("category"), F.struct("n", "category")).alias("most_popular_payment_category"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a running session may still change. ANSI stays on: casts that may
 # fail use the try_ functions.
@@ -65,7 +65,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{_shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Reliable checkpoints go to the folder the cluster names."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_shared_base(spark))
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The DataFrame written to the shared folder and read back: computed once, whatever is lost later.
+
+    Columnar, so a reader that needs few columns reads few. The folder is left to
+    the clean-up of the shared folder.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
