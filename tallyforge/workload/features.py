@@ -229,7 +229,7 @@ def rfm(t):
     "ud13_series_shape",
     """WITH m AS (SELECT customer_id, date_trunc('month', transaction_date) AS month,
                          CAST(sum(CAST(amount AS DECIMAL(12,2))) AS DECIMAL(18,2))::DOUBLE / 1000 AS v FROM transactions GROUP BY 1, 2),
-       p AS (SELECT customer_id, CAST(round(v, 2) AS DECIMAL(18,2))::DOUBLE AS v,
+       p AS (SELECT customer_id, CAST(v AS DECIMAL(18,5))::DOUBLE AS v,
                     row_number() OVER (PARTITION BY customer_id ORDER BY month) - 1 AS x FROM m),
        s AS (SELECT customer_id, count(*) AS n, avg(v) AS mean, stddev_pop(v) AS sd, regr_slope(v, x) AS slope FROM p GROUP BY 1)
        SELECT customer_id, round(CASE WHEN n >= 3 THEN sd / mean ELSE 0 END, 6)::DOUBLE AS seasonality_index,
@@ -243,7 +243,7 @@ def series_shape(t):
     monthly = t.transactions.groupBy("customer_id", F.trunc("transaction_date", "MM").alias("month")).agg(
         F.sum(F.col("amount").cast("decimal(12,2)")).cast("decimal(18,2)").cast("double").alias("v")
     )
-    shown = F.round(F.col("v") / 1000, 2).cast("decimal(18,2)").cast("string")
+    shown = (F.col("v") / 1000).cast("decimal(18,5)").cast("string")
     lists = monthly.groupBy("customer_id").agg(
         F.sort_array(F.collect_list(F.struct("month", shown.alias("shown")))).alias("points")
     )

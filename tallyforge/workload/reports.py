@@ -72,8 +72,8 @@ def cohort_retention(t):
 
 @query(
     "pl05_sensor_health",
-    """SELECT strftime(reading_date, '%Y-%m-%d') AS reading_date, location, status, round(v, 4) AS avg_value, min_value, max_value,
-              reading_count, round(b, 4) AS avg_battery_level, round(g, 4) AS avg_signal_strength,
+    """SELECT strftime(reading_date, '%Y-%m-%d') AS reading_date, location, status, round(v, 9) AS avg_value, min_value, max_value,
+              reading_count, round(b, 9) AS avg_battery_level, round(g, 9) AS avg_signal_strength,
               CASE WHEN abs(v - avg(v) OVER w) > 2 * stddev_samp(v) OVER w THEN 'ANOMALY'
                    WHEN abs(v - avg(v) OVER w) > stddev_samp(v) OVER w THEN 'WARNING' ELSE 'NORMAL' END AS health_status
        FROM (SELECT timestamp::DATE AS reading_date, location, status, avg(value) AS v, min(value) AS min_value, max(value) AS max_value,
@@ -82,7 +82,7 @@ def cohort_retention(t):
     "sensors",
 )
 def sensor_health(t):
-    health = rounded(reports.sensor_health(t.sensors), avg_value=4, avg_battery_level=4, avg_signal_strength=4)
+    health = rounded(reports.sensor_health(t.sensors), avg_value=9, avg_battery_level=9, avg_signal_strength=9)
     return health.withColumn("reading_date", day("reading_date"))
 
 

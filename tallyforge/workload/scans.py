@@ -165,14 +165,14 @@ def split_fields(t):
 @query(
     "snk01_formats_agree",
     """SELECT fmt, count(*) AS row_count, round(sum(p_retailprice), 2) AS total FROM part, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)
-       WHERE p_retailprice > 950 GROUP BY 1""",
+       WHERE p_retailprice > 905 GROUP BY 1""",
 )
 def formats_agree(t):
     ddl = "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
     result = None
     for fmt in ("csv", "json", "parquet"):
         reader = t.spark.read.schema(ddl).option("header", True).format(fmt)
-        part = reader.load(written(t, t.part, fmt)).filter("p_retailprice > 950").agg(
+        part = reader.load(written(t, t.part, fmt)).filter("p_retailprice > 905").agg(
             F.lit(fmt).alias("fmt"), F.count("*").alias("row_count"), r(F.sum("p_retailprice")).alias("total")
         )
         result = part if result is None else result.unionByName(part)
