@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.operators.skew import hot_key_hashes, salted_join
+from tallyforge.operators.skew import hot_key_hashes, is_small, salted_join
 
 
 def update_where(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:
@@ -43,13 +43,17 @@ def merge_into(
     keys: Sequence[str],
     update: Sequence[str] | None = None,
     spread_by: Sequence[str] | None = None,
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Update matched rows of `target`, append unmatched rows of `source`.
 
     `update` names the columns taken over on a match (all but the keys by
     default). Several target rows may match one source row; the source must be
-    unique per key. NULL keys never match. A key that repeats a lot in the
-    target is spread over tasks by the columns in `spread_by`.
+    unique per key. NULL keys never match.
+
+    A source of at most `broadcast_rows` rows, counted first, is sent to the target,
+    which then is not shuffled. Otherwise keys that repeat a lot in the target are
+    spread over tasks by the columns in `spread_by`.
     """
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
     has_keys = F.lit(True)
@@ -57,7 +61,10 @@ def merge_into(
         has_keys = has_keys & F.col(key).isNotNull()
     unique = _unique_source(source.filter(has_keys), keys)
     spread_by = spread_by or target.columns
-    hot = hot_key_hashes(target, keys)
+    if is_small(source, broadcast_rows):
+        unique, hot = F.broadcast(unique), []
+    else:
+        hot = hot_key_hashes(target, keys)
     matched = salted_join(target, unique, keys, spread_by, how="left", hot=hot)
     kept = matched.select(
         *[

@@ -69,11 +69,8 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
-    """Hint a broadcast only after measuring the table; otherwise leave the choice to Spark.
-
-    Reads at most `max_rows + 1` rows to decide.
-    """
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
+    """Whether the table stays within both bounds. Reads at most `max_rows + 1` rows."""
     width = F.lit(0)
     for field in df.schema.fields:
         if field.dataType.typeName() in ("string", "binary"):
@@ -83,6 +80,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20)
         else:
             width = width + F.lit(8)
     seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
-    if seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring the table; otherwise leave the choice to Spark."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -31,9 +31,10 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return history(spark, path).agg(F.max("version")).first()[0]
 
 
-def seen_batch(spark: SparkSession, path: str, batch_id: int) -> bool:
-    """Whether a stream's batch is already part of the table."""
-    return not history(spark, path).filter(F.col("batch_id") == batch_id).isEmpty()
+def position(spark: SparkSession, path: str, batch_id: int) -> tuple[int | None, bool]:
+    """The latest version, and whether a stream's batch is already part of the table."""
+    found = history(spark, path).agg(F.max("version"), F.count_if(F.col("batch_id") == batch_id)).first()
+    return found[0], found[1] > 0
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -44,11 +45,14 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(f"{path}/version={version}")
 
 
-def write_version(df: DataFrame, path: str, operation: str, batch_id: int | None = None) -> int:
-    """Write `df` as the next version and return its number."""
+def write_version(
+    df: DataFrame, path: str, operation: str, batch_id: int | None = None, version: int | None = None
+) -> int:
+    """Write `df` as the next version and return its number. Pass `version` when it is known already."""
     spark = df.sparkSession
-    last = latest_version(spark, path)
-    version = 0 if last is None else last + 1
+    if version is None:
+        last = latest_version(spark, path)
+        version = 0 if last is None else last + 1
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
     # The count comes from the footers of the files just written.
     rows = read_version(spark, path, version).count()

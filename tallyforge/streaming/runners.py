@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyforge.sources.snapshots import seen_batch, write_version
+from tallyforge.sources.snapshots import position, write_version
 
 
 def _trigger(every: str | None) -> dict:
@@ -30,8 +30,9 @@ def replace_result(
     """Complete mode: each trigger writes the whole result as the next version of a versioned table."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        if not seen_batch(batch.sparkSession, path, batch_id):
-            write_version(batch, path, "replace", batch_id)
+        latest, seen = position(batch.sparkSession, path, batch_id)
+        if not seen:
+            write_version(batch, path, "replace", batch_id, version=0 if latest is None else latest + 1)
 
     writer = stream.writeStream.outputMode("complete").foreachBatch(save)
     if name:

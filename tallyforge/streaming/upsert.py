@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge.operators.changes import merge_into
 from tallyforge.operators.dedup import keep_first
-from tallyforge.sources.snapshots import latest_version, read_version, seen_batch, write_version
+from tallyforge.operators.layout import kept
+from tallyforge.sources.snapshots import position, read_version, write_version
 
 
 def upsert_stream(
@@ -22,14 +23,16 @@ def upsert_stream(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if seen_batch(spark, path, batch_id):
+        latest, seen = position(spark, path, batch_id)
+        if seen:
             return
-        changes = keep_first(batch, keys, *newest_first)
-        if latest_version(spark, path) is None:
-            state = changes
-        else:
-            state = merge_into(read_version(spark, path), changes, keys)
-        write_version(state, path, "upsert", batch_id)
+        # The merge looks at the changes several times.
+        with kept(keep_first(batch, keys, *newest_first)) as changes:
+            if latest is None:
+                write_version(changes, path, "upsert", batch_id, version=0)
+            else:
+                state = merge_into(read_version(spark, path, latest), changes, keys)
+                write_version(state, path, "upsert", batch_id, version=latest + 1)
 
     return (
         stream.writeStream.foreachBatch(save)

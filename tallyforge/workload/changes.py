@@ -33,15 +33,17 @@ def delete(t):
 
 @query(
     "mu03_merge",
-    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer
-       UNION ALL SELECT c_custkey + 10000000, 'new', c_acctbal + 1000 FROM customer WHERE c_custkey % 10 = 0""",
+    """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer
+       UNION ALL SELECT -1 - c_custkey, 'new', c_acctbal + 1000 FROM customer WHERE c_mktsegment = 'MACHINERY'""",
 )
 def merge(t):
-    target = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    raised = target.withColumn("c_acctbal", F.col("c_acctbal") + 1000)
-    corrections = raised.filter("c_custkey % 4 = 0")
-    new = raised.filter("c_custkey % 10 = 0").withColumns(
-        {"c_custkey": F.col("c_custkey") + 10_000_000, "c_name": F.lit("new")}
+    """Accounts in debt are corrected, and accounts with new keys are added."""
+    columns = ("c_custkey", "c_name", "c_acctbal")
+    target = t.customer.select(*columns)
+    raised = t.customer.withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    corrections = raised.filter("c_acctbal < 1000").select(*columns)
+    new = raised.filter("c_mktsegment = 'MACHINERY'").select(
+        (-1 - F.col("c_custkey")).alias("c_custkey"), F.lit("new").alias("c_name"), "c_acctbal"
     )
     return changes.merge_into(target, corrections.union(new), ["c_custkey"], update=["c_acctbal"])
 

@@ -100,14 +100,14 @@ def stream_csv(t):
 
 @query(
     "src11_stream_orders",
-    """SELECT o_orderkey::VARCHAR AS order_id, o_custkey::INT AS customer_id, (o_orderkey % 5)::INT AS quantity,
+    """SELECT o_orderkey::VARCHAR AS order_id, o_custkey::INT AS customer_id, 3 AS quantity,
               round(o_totalprice, 2) AS amount, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_date
-       FROM orders WHERE o_orderkey % 5 > 0""",
+       FROM orders WHERE o_orderstatus <> 'P'""",
 )
 def stream_orders(t):
     raw = t.orders.select(
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.lit("p").alias("product_id"), (F.col("o_orderkey") % 5).alias("quantity"),
+        F.lit("p").alias("product_id"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(3).alias("quantity"),
         F.col("o_totalprice").alias("amount"), stamp("o_orderdate").alias("order_date"),
     )
     landed = land(t, ingest.stream_orders(t.spark, written(t, raw, "json")))

@@ -119,7 +119,7 @@ def _texts(d) -> dict[str, str]:
         "social": """
             SELECT c_custkey AS user_id, CAST(c_custkey % 1000 AS INT) AS follower_count,
                    CAST((c_custkey * 7) % 500 AS INT) AS following_count, c_custkey % 2 = 0 AS verified
-            FROM customer WHERE c_custkey % 3 = 0""",
+            FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY')""",
         "taxi": f"""
             SELECT pickup_at, {d.minutes("pickup_at", "l_quantity * 2 - 4")} AS dropoff_at,
                    CASE WHEN l_partkey % 97 = 0 THEN -1.0 * l_quantity ELSE l_quantity / 4.0 END AS trip_distance,

@@ -53,18 +53,19 @@ def complete_sink(t):
     """SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, n_name AS region, count(*) AS order_count, round(sum(o_totalprice), 2) AS total_revenue,
               count(DISTINCT o_custkey) AS unique_customers
        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-       WHERE c_custkey % 7 <> 0 AND o_orderkey % 5 > 0 GROUP BY 1, 2""",
+       JOIN customers ON c_custkey = customer_id WHERE email IS NOT NULL AND o_orderstatus <> 'P' GROUP BY 1, 2""",
+    "customers",
 )
 def order_flow(t):
     """Order files and a customer file through streams and views to the daily summary."""
     base = shared_dir(t.spark, "orders")
     raw = t.orders.select(
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.lit("p").alias("product_id"), (F.col("o_orderkey") % 5).alias("quantity"),
+        F.lit("p").alias("product_id"), F.when(F.col("o_orderstatus") == "P", 0).otherwise(3).alias("quantity"),
         F.col("o_totalprice").alias("amount"), stamp("o_orderdate").alias("order_date"),
     )
     people = t.customers.select(
-        "customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("name")).alias("name"), "email",
+        "customer_id", F.when(F.col("email").isNotNull(), F.col("name")).alias("name"), "email",
         F.col("state").alias("region"), "signup_date",
     )
     sinks.write_files(raw, f"{base}/in/orders", "json")
@@ -90,16 +91,16 @@ def available_now(t):
 
 @query(
     "sm02_late_rows",
-    """WITH first AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events WHERE event_id % 10 > 0),
+    """WITH first AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events WHERE event_type <> 'error'),
        kept AS (SELECT date_trunc('hour', ts) AS w FROM events, first
-                WHERE event_id % 10 > 0 OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark)
+                WHERE event_type <> 'error' OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark)
        SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS transaction_count FROM kept
        WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1""",
 )
 def late_rows(t):
-    """Every tenth event arrives after all others: those of closed hours come too late and are dropped."""
+    """Errors arrive after all other events: those of closed hours come too late and are dropped."""
     base = shared_dir(t.spark, "late")
-    for part in ("event_id % 10 > 0", "event_id % 10 = 0"):
+    for part in ("event_type <> 'error'", "event_type = 'error'"):
         sinks.write_files(t.events.filter(part), f"{base}/in", mode="append")
         stream = ingest.stream_parquet(t.spark, f"{base}/in", t.events.schema)
         windows = metrics.windowed_totals(metrics.with_lateness(stream, "ts"), "ts", [], "value")
@@ -167,11 +168,11 @@ def filter_and_project(t):
 
 @query(
     "sm08_stream_static",
-    "SELECT event_id, event_type, name AS customer_name, state FROM events JOIN customers ON user_id = customer_id WHERE customer_id % 3 > 0",
+    "SELECT event_id, event_type, name AS customer_name, state FROM events JOIN customers ON user_id = customer_id WHERE age IS NOT NULL",
     "customers",
 )
 def stream_static(t):
-    people = t.customers.filter("customer_id % 3 > 0").select(
+    people = t.customers.filter("age IS NOT NULL").select(
         F.col("customer_id").alias("user_id"), F.col("name").alias("customer_name"), "state"
     )
     enriched = metrics.enrich(event_stream(t), people, "user_id", ["customer_name", "state"])

@@ -26,6 +26,18 @@ def test_merge_like_python(spark, target, source, keyless):
     assert sorted((tuple(r) for r in merged.collect()), key=repr) == sorted(twin, key=repr)
 
 
+@few
+@given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=25), st.dictionaries(st.integers(0, 9), st.integers(10, 19)))
+def test_merge_is_the_same_with_and_without_broadcast(spark, target, source):
+    state = spark.createDataFrame(target, SCHEMA)
+    given_rows = spark.createDataFrame(list(source.items()), SCHEMA)
+    sent, shuffled = (
+        sorted((tuple(r) for r in changes.merge_into(state, given_rows, ["k"], broadcast_rows=n).collect()), key=repr)
+        for n in (100, 0)
+    )
+    assert sent == shuffled
+
+
 def test_merge_is_idempotent(spark, rows):
     target = spark.createDataFrame([(1, 1), (2, 2)], SCHEMA)
     source = spark.createDataFrame([(2, 20), (3, 30)], SCHEMA)
@@ -45,7 +57,8 @@ def test_merge_with_a_hot_target_key(spark):
     target = spark.range(3000).select(F.when(F.col("id") < 2500, 0).otherwise(F.col("id")).cast("int").alias("k"),
                                       F.col("id").alias("v"))
     source = spark.createDataFrame([(0, -1), (2600, -2), (9999, -3)], "k INT, v LONG")
-    merged = changes.merge_into(target, source, ["k"], spread_by=["v"])
+    merged = changes.merge_into(target, source, ["k"], spread_by=["v"], broadcast_rows=0)
+    assert "_salt" in merged._jdf.queryExecution().toString()
     assert merged.count() == 3001
     assert merged.filter("v = -1").count() == 2500 and merged.filter("v < -1").count() == 2
 

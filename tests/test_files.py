@@ -129,7 +129,8 @@ def test_snapshot_versions_and_history(spark, table, rows, tmp_path):
     assert snapshots.latest_version(spark, path) == 1
     assert rows(snapshots.read_version(spark, path, 0)) == rows(table)
     assert snapshots.read_version(spark, path).count() == 2
-    assert snapshots.seen_batch(spark, path, 4) and not snapshots.seen_batch(spark, path, 5)
+    assert snapshots.position(spark, path, 4) == (1, True)
+    assert snapshots.position(spark, path, 5) == (1, False)
     assert rows(snapshots.history(spark, path).select("version", "operation", "rows")) == [
         (0, "create", 3), (1, "delete", 2)
     ]
