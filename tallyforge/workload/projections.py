@@ -200,46 +200,55 @@ def exact_dedup(t):
 
 
 def noisy_customers(t):
-    """Seven spellings of every customer."""
-    return dedup.with_noisy_copies(
-        t.customers.select("customer_id", "name", "email", "phone", "gender"), 7, {"name": 3, "email": 2}
+    """350 spellings of every customer."""
+    people = t.customers.select(
+        "customer_id", F.col("name").alias("first_name"),
+        F.concat(F.lit("Smith"), (F.col("customer_id") % 100).cast("string")).alias("last_name"),
+        F.col("email").alias("email_address"), F.col("phone").alias("phone_number"),
+        F.concat(F.lit("AB-"), (F.col("customer_id") % 500).cast("string")).alias("postal_zip_code"), "gender",
     )
+    return dedup.with_noisy_copies(people, 350, {"first_name": 3, "last_name": 2, "email_address": 4})
 
 
 NOISY_SQL = """
-    SELECT customer_id, CASE WHEN d % 3 = 0 THEN upper(name) ELSE name END AS name,
-           CASE WHEN d % 2 = 0 THEN upper(email) ELSE email END AS email, phone, gender, d AS duplicate_id
-    FROM customers, range(7) AS copies(d)
+    SELECT customer_id, CASE WHEN d % 3 = 0 THEN upper(name) ELSE name END AS first_name,
+           CASE WHEN d % 2 = 0 THEN upper('Smith' || CAST(customer_id % 100 AS VARCHAR)) ELSE 'Smith' || CAST(customer_id % 100 AS VARCHAR) END AS last_name,
+           CASE WHEN d % 4 = 0 THEN upper(email) ELSE email END AS email_address, phone AS phone_number,
+           'AB-' || CAST(customer_id % 500 AS VARCHAR) AS postal_zip_code, gender, d AS duplicate_id
+    FROM customers, range(350) AS copies(d)
 """
 
 
 @query(
     "prj18_dedup_ignoring_case",
-    f"""SELECT name, email, duplicate_id::INT AS duplicate_id FROM (
-          SELECT *, row_number() OVER (PARTITION BY lower(name), lower(email) ORDER BY duplicate_id DESC, customer_id) AS rn
+    f"""SELECT first_name, last_name, email_address, duplicate_id::INT AS duplicate_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY lower(first_name), lower(last_name), lower(email_address)
+                                       ORDER BY duplicate_id DESC, customer_id) AS rn
           FROM ({NOISY_SQL})) WHERE rn = 1""",
     "customers",
 )
 def dedup_ignoring_case(t):
     kept = dedup.keep_first_ignoring_case(
-        noisy_customers(t), ["name", "email"], [F.desc("duplicate_id"), F.col("customer_id")]
+        noisy_customers(t), ["first_name", "last_name", "email_address"], [F.desc("duplicate_id"), F.col("customer_id")]
     )
-    return kept.select("name", "email", "duplicate_id")
+    return kept.select("first_name", "last_name", "email_address", "duplicate_id")
 
 
 @query(
     "prj19_dedup_standardised",
-    f"""SELECT name, phone, gender FROM (
-          SELECT *, row_number() OVER (PARTITION BY lower(name), lower(email),
-                      regexp_replace(phone, '[^0-9]', '', 'g'), gender ORDER BY duplicate_id, customer_id) AS rn
+    f"""SELECT first_name, phone_number, postal_zip_code, gender FROM (
+          SELECT *, row_number() OVER (PARTITION BY lower(first_name), lower(last_name), lower(email_address),
+                      regexp_replace(phone_number, '[^0-9]', '', 'g'), regexp_replace(postal_zip_code, '[^0-9]', '', 'g'), gender
+                      ORDER BY duplicate_id, customer_id) AS rn
           FROM ({NOISY_SQL})) WHERE rn = 1""",
     "customers",
 )
 def dedup_standardised(t):
     kept = dedup.keep_first_standardised(
-        noisy_customers(t), ["name", "email"], ["phone"], [F.col("duplicate_id"), F.col("customer_id")], ["gender"]
+        noisy_customers(t), ["first_name", "last_name", "email_address"], ["phone_number", "postal_zip_code"],
+        [F.col("duplicate_id"), F.col("customer_id")], ["gender"],
     )
-    return kept.select("name", "phone", "gender")
+    return kept.select("first_name", "phone_number", "postal_zip_code", "gender")
 
 
 @query("prj20_sample")
@@ -249,18 +258,18 @@ def bernoulli_sample(t):
 
 @query(
     "prj21_noisy_copies",
-    f"""SELECT duplicate_id::INT AS duplicate_id, count(*) AS copies, count(DISTINCT name) AS names,
-               count(*) FILTER (WHERE name = upper(name)) AS upper_names,
-               count(*) FILTER (WHERE email = upper(email)) AS upper_emails
+    f"""SELECT duplicate_id::INT AS duplicate_id, count(*) AS copies, count(DISTINCT first_name) AS names,
+               count(*) FILTER (WHERE last_name = upper(last_name)) AS upper_names,
+               count(*) FILTER (WHERE email_address = upper(email_address)) AS upper_emails
         FROM ({NOISY_SQL}) GROUP BY 1""",
     "customers",
 )
 def noisy_copies(t):
     return noisy_customers(t).groupBy("duplicate_id").agg(
         F.count("*").alias("copies"),
-        F.count_distinct("name").alias("names"),
-        F.count_if(F.col("name") == F.upper("name")).alias("upper_names"),
-        F.count_if(F.col("email") == F.upper("email")).alias("upper_emails"),
+        F.count_distinct("first_name").alias("names"),
+        F.count_if(F.col("last_name") == F.upper("last_name")).alias("upper_names"),
+        F.count_if(F.col("email_address") == F.upper("email_address")).alias("upper_emails"),
     )
 
 

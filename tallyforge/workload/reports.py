@@ -250,6 +250,20 @@ def hourly_counts(t):
     return trips.hourly_counts(trips.clean_trips(t.trips_raw), STATION)
 
 
+HEATMAP_HOURS = ", ".join(f"count(*) FILTER (WHERE h = {h}) AS h{h}" for h in range(24))
+
+
+@query(
+    "pl13b_departure_heatmap",
+    f"""WITH c AS ({CLEAN_TRIPS}) SELECT l AS day_label, {HEATMAP_HOURS} FROM (
+          SELECT strftime(started, '%a') AS l, hour(started) AS h FROM c WHERE start_station_name = '{STATION}') GROUP BY 1""",
+    "trips_raw",
+)
+def departure_heatmap(t):
+    heat = trips.departure_heatmap(trips.hourly_counts(trips.clean_trips(t.trips_raw), STATION))
+    return heat.select("day_label", *[F.coalesce(F.col(f"`{h}`"), F.lit(0)).alias(f"h{h}") for h in range(24)])
+
+
 WEEKS = f"""
     SELECT coalesce(d.w, a.w) AS week_start, coalesce(d.n, 0) AS departures, coalesce(a.n, 0) AS arrivals
     FROM (SELECT date_trunc('week', started) AS w, count(*) AS n FROM c WHERE start_station_name = '{STATION}' GROUP BY 1) d
