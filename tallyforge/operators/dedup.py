@@ -42,9 +42,15 @@ def keep_first_standardised(
     return keep_first(df, keys, *order)
 
 
-def with_noisy_copies(df: DataFrame, copies: int, upper_every: Mapping[str, int]) -> DataFrame:
-    """Repeat each row `copies` times; column c is upper-cased in every upper_every[c]-th copy."""
-    repeated = df.withColumn("duplicate_id", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+def with_noisy_copies(
+    df: DataFrame, copies: int, upper_every: Mapping[str, int], partitions: int | None = None
+) -> DataFrame:
+    """Repeat each row `copies` times; column c is upper-cased in every upper_every[c]-th copy.
+
+    `partitions` spreads the rows before they multiply, for an input of few partitions.
+    """
+    spread = df.repartition(partitions) if partitions else df
+    repeated = spread.withColumn("duplicate_id", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     noisy = {
         column: F.when(F.col("duplicate_id") % step == 0, F.upper(column)).otherwise(F.col(column))
         for column, step in upper_every.items()

@@ -207,7 +207,8 @@ def noisy_customers(t):
         F.col("email").alias("email_address"), F.col("phone").alias("phone_number"),
         F.concat(F.lit("AB-"), (F.col("customer_id") % 500).cast("string")).alias("postal_zip_code"), "gender",
     )
-    return dedup.with_noisy_copies(people, 350, {"first_name": 3, "last_name": 2, "email_address": 4})
+    cores = t.spark.sparkContext.defaultParallelism
+    return dedup.with_noisy_copies(people, 350, {"first_name": 3, "last_name": 2, "email_address": 4}, cores)
 
 
 NOISY_SQL = """

@@ -49,12 +49,13 @@ def test_no_python_per_row_and_no_cartesian_product(tables):
         assert "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_no_window_without_partition(tables):
-    for name in ("wn02_percent_rank", "wn10_ordered_batches", "wn11_row_numbers", "wn12_ranked_customers", "pl05_sensor_health"):
-        for line in plan(load_queries()[name].build(tables)).splitlines():
-            if "Window [" in line:
-                assert "windowspecdefinition(" in line and ", [" in line.split("], [", 1)[0] + ", [", name
-        assert "Exchange SinglePartition" not in plan(load_queries()[name].build(tables)).split("Subquery")[0], name
+@pytest.mark.parametrize(
+    "name", ["wn02_percent_rank", "wn10_ordered_batches", "wn11_row_numbers", "wn12_ranked_customers", "pl05_sensor_health"]
+)
+def test_no_window_without_partition(tables, name):
+    """A window over everything would pull all rows into one partition first."""
+    text = plan(load_queries()[name].build(tables))
+    assert "SinglePartition" not in text
 
 
 def test_hot_keys_are_found_and_split(spark, rows):
