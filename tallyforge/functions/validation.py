@@ -138,7 +138,11 @@ def series_shape(df: DataFrame, key: str, series: str) -> DataFrame:
         F.count_if(F.col("given") & F.col("v").isNull()).alias("broken"),
         F.avg("v").alias("mean"),
         F.stddev_pop("v").alias("sd"),
-        F.regr_slope("v", "x").alias("slope"),
+        # Least squares from plain sums: exact for whole numbers, in whatever order they come.
+        F.try_divide(
+            F.count("v") * F.sum(F.col("x") * F.col("v")) - F.sum("x") * F.sum("v"),
+            F.count("v") * F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.sum("x"),
+        ).alias("slope"),
     )
     usable = (F.col("n") >= 3) & (F.col("broken") == 0)
     seasonality = F.when(usable & (F.col("mean") > 0), F.col("sd") / F.col("mean")).otherwise(0.0)
