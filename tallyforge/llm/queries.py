@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from tallyforge.llm.decontamination import op3_prefix_filtered_decontamination
+from tallyforge.llm.language import op1_hyperdimensional_language_id
+from tallyforge.llm.packing import op5_vector_bin_packing
+from tallyforge.llm.secrets import op4_guess_cost_secret_scan
 from tallyforge.llm.simhash import op6_simhash_near_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_hyperdimensional_language_id,
+        op3_prefix_filtered_decontamination,
+        op4_guess_cost_secret_scan,
+        op5_vector_bin_packing,
         op6_simhash_near_dedup,
     )
 }
