@@ -7,11 +7,13 @@ from tallyforge.llm.language import op1_hyperdimensional_language_id
 from tallyforge.llm.packing import op5_vector_bin_packing
 from tallyforge.llm.secrets import op4_guess_cost_secret_scan
 from tallyforge.llm.simhash import op6_simhash_near_dedup
+from tallyforge.llm.substrings import op2_difference_cover_substring_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hyperdimensional_language_id,
+        op2_difference_cover_substring_dedup,
         op3_prefix_filtered_decontamination,
         op4_guess_cost_secret_scan,
         op5_vector_bin_packing,
