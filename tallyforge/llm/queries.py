@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from tallyforge.llm.decontamination import op3_prefix_filtered_decontamination
+from tallyforge.llm.embeddings import op8_sorted_projection_near_dedup
 from tallyforge.llm.language import op1_hyperdimensional_language_id
+from tallyforge.llm.licenses import op9_prefix_filtered_license_scan
+from tallyforge.llm.mixing import op7_context_mixing_scores
 from tallyforge.llm.packing import op5_vector_bin_packing
 from tallyforge.llm.secrets import op4_guess_cost_secret_scan
 from tallyforge.llm.simhash import op6_simhash_near_dedup
@@ -18,6 +21,9 @@ QUERIES = {
         op4_guess_cost_secret_scan,
         op5_vector_bin_packing,
         op6_simhash_near_dedup,
+        op7_context_mixing_scores,
+        op8_sorted_projection_near_dedup,
+        op9_prefix_filtered_license_scan,
     )
 }
 
