@@ -8,6 +8,7 @@ from tallyforge.llm.language import op1_hyperdimensional_language_id
 from tallyforge.llm.licenses import op9_prefix_filtered_license_scan
 from tallyforge.llm.mixing import op7_context_mixing_scores
 from tallyforge.llm.packing import op5_vector_bin_packing
+from tallyforge.llm.quality import op10_kneser_ney_quality
 from tallyforge.llm.secrets import op4_guess_cost_secret_scan
 from tallyforge.llm.simhash import op6_simhash_near_dedup
 from tallyforge.llm.substrings import op2_difference_cover_substring_dedup
@@ -24,6 +25,7 @@ QUERIES = {
         op7_context_mixing_scores,
         op8_sorted_projection_near_dedup,
         op9_prefix_filtered_license_scan,
+        op10_kneser_ney_quality,
     )
 }
 
