@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.llm import filters
 from tallyforge.llm.words import ALPHANUMERIC, LOWER, membership, pieces, split, word_hashes
@@ -236,17 +236,20 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     return rows.join(extra, "row", "left").select(key, F.array_sort(F.concat(plain, F.coalesce("extra", none))).alias("spans"))
 
 
-def _named(spans) -> "F.Column":
+def _named(spans: Column | str) -> Column:
     kinds = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"])), ",")
 
 
+def _count(kind: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op4_guess_cost_secret_scan(spark, folder: str) -> DataFrame:
     """The secrets in every whole document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    number = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    number = [_count(kind).alias(f"n_{KINDS[kind]}") for kind in range(4)]
     return find_secrets(docs).select(
         "doc_id", *number, F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("spans")).alias("spans"),
-        F.size(F.filter("spans", lambda s: s["kind"] == 3)).cast("long").alias("n_guess"),
     )
