@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-Limits = Sequence[tuple[float, str]]
+Limits = Sequence[tuple[float | Column, str]]
 
 
-def below(column: str | Column, limits: Limits, rest: str, missing: str | None = None) -> Column:
+def below(column: str | Column, limits: Limits, rest: str | Column, missing: str | None = None) -> Column:
     """Label of the first limit the value lies below, else `rest`; `missing` for NULL if given."""
     value = F.col(column) if isinstance(column, str) else column
     label = F.when(value.isNull(), missing) if missing is not None else F
@@ -18,7 +18,7 @@ def below(column: str | Column, limits: Limits, rest: str, missing: str | None =
     return label.otherwise(rest)
 
 
-def above(column: str | Column, limits: Limits, rest: str, missing: str | None = None) -> Column:
+def above(column: str | Column, limits: Limits, rest: str | Column, missing: str | None = None) -> Column:
     """Label of the first limit the value exceeds, else `rest`; `missing` for NULL if given."""
     value = F.col(column) if isinstance(column, str) else column
     label = F.when(value.isNull(), missing) if missing is not None else F

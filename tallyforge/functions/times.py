@@ -26,6 +26,11 @@ def week_start(ts: str) -> Column:
     return F.date_trunc("week", ts).cast("date")
 
 
+def on_weekend(ts: str) -> Column:
+    """Whether the day is a Saturday or Sunday."""
+    return F.dayofweek(ts).isin(1, 7)
+
+
 def seconds_between(start: str, end: str) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
@@ -35,7 +40,7 @@ def parse_feed_time(text: str) -> Column:
 
     The weekday name cannot be parsed and carries no information, so it is cut off.
     """
-    return F.try_to_timestamp(F.substring(text, 5, 100), F.lit("MMM dd HH:mm:ss zzz yyyy"))
+    return F.try_to_timestamp(F.substr(F.col(text), F.lit(5)), F.lit("MMM dd HH:mm:ss zzz yyyy"))
 
 
 def time_features(ts: str) -> Column:

@@ -10,8 +10,8 @@ from tallyforge.operators.quality import EMAIL_PATTERN
 
 
 def doubled(value: str, default: int = 0) -> Column:
-    """Twice the value as an int; `default` when it is NULL or not a number."""
-    return F.coalesce(F.col(value).try_cast("int") * 2, F.lit(default))
+    """Twice the value as an int; `default` when it is NULL, not a number, or too large."""
+    return F.coalesce(F.try_multiply(F.col(value).try_cast("int"), F.lit(2)), F.lit(default))
 
 
 def _verdict(valid: Column, error: Column, cleansed: Column) -> Column:
@@ -44,8 +44,8 @@ def _phone(value: Column, raw: Column) -> Column:
 
 
 def _currency(value: Column, raw: Column) -> Column:
-    number = F.regexp_replace(value, "[^0-9.-]", "").try_cast("double")
-    pretty = F.concat(F.lit("$"), number.cast("decimal(38,2)").cast("string"))
+    number = F.regexp_replace(value, "[^0-9.-]", "").try_cast("double").try_cast("decimal(38,2)")
+    pretty = F.concat(F.lit("$"), number.cast("string"))
     # A negative amount is reported but stays valid.
     error = (
         F.when(value.isNull(), "Missing currency value")
@@ -85,10 +85,17 @@ def apply_rules(df: DataFrame, record: str, rules: Mapping[str, str]) -> DataFra
     """Check texts like 'age=25|amount=500|state=CA' against named SQL conditions on the map `fields`.
 
     Adds passed, failed, failed_rules and status: APPROVED without a failure,
-    REVIEW up to two, else REJECTED. A condition that is NULL counts as failed.
+    REVIEW up to two, else REJECTED. A condition that is NULL counts as failed. Of a
+    repeated field the last value counts.
     """
-    fields = F.str_to_map(F.coalesce(F.col(record), F.lit("")), F.lit(r"\|"), F.lit("="))
-    checked = df.withColumn("fields", fields)
+    pairs = F.transform(
+        F.split(F.coalesce(F.col(record), F.lit("")), r"\|"), lambda part: F.split(part, "=", 2)
+    )
+    checked = df.withColumn("_pairs", pairs).withColumn("fields", F.map_from_entries(F.transform(
+        F.filter("_pairs", lambda pair, i: ~F.exists(
+            F.filter("_pairs", lambda later, j: j > i), lambda later: later[0] == pair[0])),
+        lambda pair: F.struct(pair[0], F.get(pair, F.lit(1))),
+    ))).drop("_pairs")
     failures = F.array_compact(
         F.array(
             *[F.when(~F.coalesce(F.expr(condition), F.lit(False)), name) for name, condition in rules.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,21 +28,10 @@ def percentiles(value: str, points: Sequence[float], names: Sequence[str], accur
     ]
 
 
-def spread_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Size, mean, deviation, range, quartiles and coefficient of variation per group."""
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.count("*").alias("customer_count"),
-            F.avg(value).alias("avg_spending"),
-            F.stddev(value).alias("spending_stddev"),
-            F.min(value).alias("min_spending"),
-            F.max(value).alias("max_spending"),
-            *percentiles(value, (0.25, 0.5, 0.75, 0.95),
-                         ("p25_spending", "median_spending", "p75_spending", "p95_spending")),
-        )
-        .withColumn("coefficient_of_variation", F.try_divide("spending_stddev", "avg_spending"))
-    )
+def described(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], **figures: Column) -> DataFrame:
+    """Any figures per group, and approximate quantiles of one column, all named by the caller, in one pass."""
+    named = [figure.alias(name) for name, figure in figures.items()]
+    return df.groupBy(*keys).agg(*named, *percentiles(value, list(quantiles.values()), list(quantiles)))
 
 
 def calendar_rollup(df: DataFrame, date: str, amount: str, customer: str) -> DataFrame:
@@ -100,7 +89,8 @@ def share_above(df: DataFrame, keys: Sequence[str], value: str, floor: float) ->
 def collect_distinct(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Sorted array of the distinct values per key.
 
-    Pairs are made distinct first, so a key with many rows only sends its distinct values on.
+    Pairs are made distinct first, so a key with many rows only sends its distinct values on. The array of a key is one
+    value in one task: use it for columns with few distinct values.
     """
     pairs = df.select(key, value).distinct()
     return pairs.groupBy(key).agg(F.sort_array(F.collect_set(value)).alias(name))

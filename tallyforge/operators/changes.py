@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.operators.skew import hot_key_hashes, is_small, salted_join
+from tallyforge.operators.skew import hot_keys, is_small, salted_join
 
 
 def update_where(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:
@@ -62,9 +62,9 @@ def merge_into(
     unique = _unique_source(source.filter(has_keys), keys)
     spread_by = spread_by or target.columns
     if is_small(source, broadcast_rows):
-        unique, hot = F.broadcast(unique), []
+        unique, hot = F.broadcast(unique), {}
     else:
-        hot = hot_key_hashes(target, keys)
+        hot = hot_keys(target, keys)
     matched = salted_join(target, unique, keys, spread_by, how="left", hot=hot)
     kept = matched.select(
         *[

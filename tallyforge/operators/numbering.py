@@ -64,8 +64,10 @@ def ordered_batches(df: DataFrame, batches: int, *order: Column, name: str = "ba
 def percent_rank(df: DataFrame, value: str, descending: bool = True, name: str = "percent_rank") -> DataFrame:
     """PERCENT_RANK over the whole table: (rank - 1) / (rows - 1), ties share a rank.
 
-    Works on the distinct values with their counts, then joins the rank back.
+    Works on the distinct values with their counts, then joins the rank back. The rows are written once: were they
+    computed twice, a value such as a sum of doubles could differ in its last bit, and its row would find no rank.
     """
+    df = stored(df, "ranked-rows")
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
     counts = df.groupBy(value).agg(F.count("*").alias("_n"))
     laid, total = _with_offsets(_sorted_slices(counts, [order]), F.col("_n"))

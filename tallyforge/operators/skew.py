@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# The sketch tracks this many keys, so a key with half a percent of the rows is always found.
-_TRACKED_KEYS = 2_000
-_MAX_HOT_KEYS = 200
+# The most keys that the sketch behind `hot_keys` can report and track.
+_MOST_KEYS, _MOST_TRACKED = 100_000, 1_000_000
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of the keys that hold at least `share` of the rows; at most 200 numbers.
+def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> dict[int, int]:
+    """The keys larger than two mean shuffle partitions: hash of the key to the number of tasks it needs.
 
-    One pass with a frequent-items sketch, so no shuffle of the keys themselves.
+    A key gets as many tasks as it has mean partitions' worth of rows, by its measured count. There are fewer such keys
+    than half the partitions. One pass with a frequent-items sketch, so the keys themselves are not
+    shuffled. This runs a job: find the keys of a table once, and pass them to every join that needs them.
     """
-    if not share * _MAX_HOT_KEYS >= 1:
-        raise ValueError(f"share must be at least {1 / _MAX_HOT_KEYS}")
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(_MOST_KEYS, partitions // 2 + 1)
+    tracked = min(_MOST_TRACKED, 32 * partitions + 1_000)
     found = (
         df.select(F.xxhash64(*keys).alias("h"))
-        .agg(
-            F.count("*").alias("n"),
-            F.expr(f"approx_top_k(h, {_MAX_HOT_KEYS}, {_TRACKED_KEYS})").alias("top"),
-        )
+        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(h, {most}, {tracked})").alias("top"))
         .first()
     )
-    floor = max(2, share * found["n"])
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= floor]
+    mean = max(1.0, found["n"] / partitions)
+    return {e["item"]: math.ceil(e["count"] / mean) for e in found["top"] or [] if e["count"] > 2 * mean}
 
 
 def salted_join(
@@ -36,36 +36,26 @@ def salted_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    share: float = 0.01,
-    salts: int = 32,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Join on `keys`, spreading the hot keys of `left` over `salts` tasks.
+    """Join on `keys`, spreading each hot key of `left` over several tasks.
 
     Rows of hot keys get a salt computed from `spread_by` (columns that tell the
     rows of one key apart, such as an id), and the matching rows of `right` are
     repeated once per salt. Other rows are not touched. Use it where the right
     side is an aggregate on the join key: adaptive execution splits skew only
-    between two plain shuffles. `hot` takes the result of `hot_key_hashes` when
-    it is already known.
+    between two plain shuffles. `hot` takes the result of `hot_keys`, which is
+    computed here if it is not given.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat rows of the salted right side")
-    hot = hot_key_hashes(left, keys, share) if hot is None else list(hot)
+    hot = hot_keys(left, keys) if hot is None else hot
     if not hot:
         return left.join(right, list(keys), how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    salted_left = left.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0)
-    )
-    salted_right = right.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
-            .otherwise(F.array(F.lit(0)))
-            .cast("array<bigint>")
-        ),
-    )
+    parts = F.create_map(*[F.lit(x).cast("bigint") for pair in hot.items() for x in pair])
+    salts = F.coalesce(F.try_element_at(parts, F.xxhash64(*keys)), F.lit(1).cast("bigint"))
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 

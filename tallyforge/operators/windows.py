@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tallyforge.functions.tiers import above, below
 
 
 def top_by_rank(df: DataFrame, group: str, value: str, tie_break: str, k: int = 3) -> DataFrame:
@@ -23,68 +25,60 @@ def top_by_rank(df: DataFrame, group: str, value: str, tie_break: str, k: int =
     return ranked.withColumn("row_number", F.row_number().over(numbered))
 
 
+def moving(df: DataFrame, key: str, order: Sequence[str], rows: int | None = None, **figures: Column) -> DataFrame:
+    """Add aggregates over a row and those before it in its key: the last `rows` rows, or all so far."""
+    first = Window.unboundedPreceding if rows is None else 1 - rows
+    frame = Window.partitionBy(key).orderBy(*order).rowsBetween(first, Window.currentRow)
+    return df.withColumns({name: figure.over(frame) for name, figure in figures.items()})
+
+
+def neighbours(df: DataFrame, key: str, order: Sequence[str], value: str, **steps: int) -> DataFrame:
+    """Add the value of other rows of the key, so many steps back; a negative number looks ahead."""
+    in_order = Window.partitionBy(key).orderBy(*order)
+    return df.withColumns({name: F.lag(value, back).over(in_order) for name, back in steps.items()})
+
+
+def change_pct(now: str, before: str) -> Column:
+    """Change from one column to another in %; NULL without a value or from 0."""
+    return F.try_divide(F.col(now) - F.col(before), F.col(before)) * 100
+
+
 def running_growth(df: DataFrame, key: str, periods: Sequence[str], value: str) -> DataFrame:
     """Running total, previous period and growth in %, 0 for the first period of a key."""
-    in_order = Window.partitionBy(key).orderBy(*periods)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    change = F.try_divide(F.col(value) - F.col("previous_total"), F.col("previous_total")) * 100
-    return (
-        df.withColumn("running_total", F.sum(value).over(so_far))
-        .withColumn("previous_total", F.lag(value).over(in_order))
-        .withColumn("growth_pct", F.when(F.col("previous_total").isNull(), 0.0).otherwise(change))
-    )
+    totals = moving(df, key, periods, running_total=F.sum(value))
+    known = neighbours(totals, key, periods, value, previous_total=1)
+    first = F.col("previous_total").isNull()
+    return known.withColumn("growth_pct", F.when(first, 0.0).otherwise(change_pct(value, "previous_total")))
 
 
-def moving_figures(df: DataFrame, key: str, period: str, value: str, rows: int = 3) -> DataFrame:
-    """Moving average and sum over the last `rows` rows, rank in the key, and a label against the average."""
-    last_rows = Window.partitionBy(key).orderBy(period).rowsBetween(1 - rows, Window.currentRow)
-    by_value = Window.partitionBy(key).orderBy(F.col(value).desc())
-    return (
-        df.withColumn("moving_avg", F.avg(value).over(last_rows))
-        .withColumn("moving_sum", F.sum(value).over(last_rows))
-        .withColumn("sales_rank", F.rank().over(by_value))
-        .withColumn("sales_vs_avg", F.col(value) - F.col("moving_avg"))
-        .withColumn(
-            "trend_indicator",
-            F.when(F.col("sales_vs_avg") > 0, "Above Average")
-            .when(F.col("sales_vs_avg") < 0, "Below Average")
-            .otherwise("At Average"),
-        )
-    )
+# Labels of a difference, of a change in %, and of a distance in deviations.
+AGAINST_AVERAGE = ((0, "Above Average"),), ((0, "Below Average"),), "At Average"
+CHANGE = ((10, "Strong Growth"), (0, "Growth"), (-10, "Stable")), "Decline"
+DEVIATION = ((2, "ANOMALY"), (1, "WARNING")), "NORMAL"
 
 
-def neighbour_trend(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
-    """Previous and next value, change in % and a trend label; the first period has no change and no label."""
-    in_order = Window.partitionBy(key).orderBy(period)
-    change = F.col("change_pct")
-    return (
-        df.withColumn("previous_value", F.lag(value).over(in_order))
-        .withColumn("next_value", F.lead(value).over(in_order))
-        .withColumn("change_pct", F.try_divide(F.col(value) - F.col("previous_value"), F.col("previous_value")) * 100)
-        .filter(change.isNotNull())
-        .withColumn(
-            "trend_direction",
-            F.when(change > 10, "Strong Growth").when(change > 0, "Growth")
-            .when(change > -10, "Stable").otherwise("Decline"),
-        )
-    )
+def against_average(difference: Column) -> Column:
+    """Label of a value's difference from an average."""
+    over, under, level = AGAINST_AVERAGE
+    return above(difference, over, below(difference, under, level))
+
+
+def change_label(change: Column) -> Column:
+    """Label of a change in %."""
+    return above(change, *CHANGE)
 
 
 def label_deviation(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """health_status of a row against the mean and deviation of its group: beyond 2 or 1 deviations.
+    """health_status of a row by its distance from its group's mean, in deviations of the group.
 
-    The group figures are aggregated and joined back, so no group has to fit in one task.
+    The group figures are aggregated and joined back, one row per group: Spark sends few groups to the rows. Expects a
+    table that is aggregated already, where no group holds a large share of the rows.
     """
     stats = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.avg(value).alias("_mean"), F.stddev(value).alias("_sd")
     )
     same_group = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    limits, rest = DEVIATION
     far = F.abs(F.col(value) - F.col("_mean"))
-    return (
-        df.join(stats, same_group)
-        .withColumn(
-            "health_status",
-            F.when(far > 2 * F.col("_sd"), "ANOMALY").when(far > F.col("_sd"), "WARNING").otherwise("NORMAL"),
-        )
-        .drop("_mean", "_sd", *[f"_k_{k}" for k in keys])
-    )
+    label = above(far, [(times * F.col("_sd"), name) for times, name in limits], rest)
+    return df.join(stats, same_group).withColumn("health_status", label).drop("_mean", "_sd", *[f"_k_{k}" for k in keys])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.text import mentions, without_mentions
 from tallyforge.functions.times import parse_feed_time
@@ -16,15 +16,20 @@ from tallyforge.sources.ingest import stream_json
 RAW_SCHEMA = "date STRING, user STRING, text STRING, sentiment STRING"
 
 
-def mention_rows(posts: DataFrame) -> DataFrame:
-    """One row per mention, lower-cased; a post without one keeps a row with NULL."""
-    return posts.select(
+def mention_rows(posts: DataFrame, *also: str) -> DataFrame:
+    """One row per mention, lower-cased; a post without one keeps a row with NULL.
+
+    `also` names further columns to keep; `first_of_post`, true in one row of each post, is one that can be asked for.
+    """
+    rows = posts.select("*", F.posexplode_outer(mentions("text")).alias("_place", "_mention"))
+    return rows.withColumn("first_of_post", F.coalesce(F.col("_place") == 0, F.lit(True))).select(
         parse_feed_time("date").alias("timestamp"),
-        F.explode_outer(mentions("text")).alias("mention"),
+        F.lower("_mention").alias("mention"),
         without_mentions("text").alias("cleaned_text"),
         "text",
         "sentiment",
-    ).withColumn("mention", F.lower("mention"))
+        *also,
+    )
 
 
 def with_sentiment_ids(scored: DataFrame) -> DataFrame:
@@ -59,20 +64,34 @@ def sentiment_by_mention(posts: DataFrame) -> DataFrame:
     )
 
 
-def counters(posts: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows (metric, value): posts, mention rows with and without a mention."""
-    total = posts.agg(F.count("*").alias("total_posts"))
-    split = rows.agg(
-        F.count("mention").alias("with_mentions"), F.count_if(F.col("mention").isNull()).alias("without_mentions")
-    )
-    return total.unpivot([], ["total_posts"], "metric", "value").unionByName(
-        split.unpivot([], ["with_mentions", "without_mentions"], "metric", "value")
+def counters(posts: DataFrame) -> DataFrame:
+    """Rows (metric, value): posts, mention rows with and without a mention, counted in one pass."""
+    found = F.size(mentions("text"))
+    counts = posts.agg(
+        F.count("*").alias("total_posts"),
+        F.coalesce(F.sum(F.greatest(found, F.lit(0))), F.lit(0)).alias("with_mentions"),
+        F.count_if(F.coalesce(found, F.lit(0)) <= 0).alias("without_mentions"),
     )
+    return counts.unpivot([], counts.columns, "metric", "value")
 
 
-def top(df: DataFrame, label: str, value: str, k: int = 10) -> DataFrame:
-    """The k largest values, ties broken by the label."""
-    return df.select(label, value).orderBy(F.desc(value), label).limit(k)
+def top_lists(rows: DataFrame, k: int = 10) -> DataFrame:
+    """Rows (list, label, value): the k most frequent users, and mentions by positive and by negative posts.
+
+    `rows` are mention rows with `user`, `first_of_post` and `predicted_sentiment`. One pass; ties broken by the label.
+    """
+    entries = [
+        ("users", "user", F.col("first_of_post")),
+        *[(kind, "mention", F.col("predicted_sentiment") == kind) for kind in ("positive", "negative")],
+    ]
+    each = F.array(*[
+        F.struct(F.lit(name).alias("list"), F.col(label).alias("label"), F.coalesce(counts, F.lit(False)).cast("long").alias("n"))
+        for name, label, counts in entries
+    ])
+    sums = rows.select(F.explode(each).alias("e")).select("e.*").groupBy("list", "label").agg(F.sum("n").alias("value"))
+    listed = sums.filter("list = 'users' OR label IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("list").orderBy(F.desc("value"), "label"))
+    return listed.withColumn("place", place).filter(F.col("place") <= k).drop("place")
 
 
 def flow(source: str, score: Callable[[DataFrame], DataFrame]) -> list[Step]:

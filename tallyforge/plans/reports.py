@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.operators.aggregates import ACCURACY
 from tallyforge.operators.numbering import percent_rank
-from tallyforge.operators.skew import salted_join
 from tallyforge.operators.windows import label_deviation, top_by_rank
-from tallyforge.plans.customers import customer_totals
+from tallyforge.plans.customers import profiles
+from tallyforge.session import stored
+
+
+RUN = 1024
 
 
 def monthly_sales(transactions: DataFrame) -> DataFrame:
@@ -29,10 +32,10 @@ def lifetime_value_by_state(transactions: DataFrame, customers: DataFrame) -> Da
     Mean and median are taken over transactions: a customer counts once per transaction.
     """
     per_customer = (
-        customer_totals(transactions)
-        .select("customer_id", "total_spent", "transaction_count")
+        profiles(transactions, "total_spent", "transaction_count")
         .join(customers.select("customer_id", "state"), "customer_id")
     )
+    per_customer = stored(per_customer, "customer-values")
     by_state = per_customer.groupBy("state").agg(
         F.count("*").alias("customer_count"),
         F.sum("total_spent").alias("total_revenue"),
@@ -41,8 +44,12 @@ def lifetime_value_by_state(transactions: DataFrame, customers: DataFrame) -> Da
         ).alias("avg_customer_ltv"),
         F.max("total_spent").alias("max_ltv"),
     )
-    per_row = salted_join(
-        transactions.select("customer_id", "transaction_id"), per_customer, ["customer_id"], ["transaction_id"]
+    # Each total as often as the customer has transactions, in runs of bounded length.
+    runs = F.explode(F.sequence(F.lit(0), ((F.col("transaction_count") - 1) / RUN).cast("int")))
+    length = F.least(F.lit(RUN), F.col("transaction_count") - F.col("run") * RUN).cast("int")
+    per_row = (
+        per_customer.select("state", "total_spent", "transaction_count", runs.alias("run"))
+        .select("state", F.explode(F.array_repeat("total_spent", length)).alias("total_spent"))
     )
     medians = per_row.groupBy("state").agg(
         F.percentile_approx("total_spent", 0.5, ACCURACY).alias("median_ltv")
@@ -76,8 +83,7 @@ def product_performance(transactions: DataFrame, products: DataFrame) -> DataFra
 def ranked_customers(transactions: DataFrame, customers: DataFrame, k: int = 3) -> DataFrame:
     """The top k customers of each state with their percent rank among all customers."""
     totals = (
-        customer_totals(transactions)
-        .select("customer_id", "total_spent", "transaction_count")
+        profiles(transactions, "total_spent", "transaction_count")
         .join(customers.select("customer_id", "name", "state"), "customer_id")
     )
     ranked = percent_rank(totals, "total_spent", name="percentile_rank")

@@ -7,10 +7,10 @@ function of a declarative flow.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallyforge.sources.ingest import stream_parquet
 from tallyforge.streaming.runners import append_to_files, finish
@@ -25,13 +25,16 @@ class Step:
     build: Callable[[SparkSession, Callable[..., DataFrame]], DataFrame]
 
 
-def reader(spark: SparkSession, base: str) -> Callable[..., DataFrame]:
-    """Read a step's output: as a table, or as a stream of its new files."""
+def reader(spark: SparkSession, base: str, schemas: Mapping[str, T.StructType] | None = None) -> Callable[..., DataFrame]:
+    """Read a step's output: as a table, or as a stream of its new files.
+
+    `schemas` has the columns of steps that may not have written a file yet, as there was nothing to write.
+    """
 
     def read(name: str, stream: bool = False) -> DataFrame:
         path = f"{base}/{name}"
-        table = spark.read.parquet(path)
-        return stream_parquet(spark, path, table.schema) if stream else table
+        schema = (schemas or {}).get(name) or spark.read.parquet(path).schema
+        return stream_parquet(spark, path, schema) if stream else spark.read.schema(schema).parquet(path)
 
     return read
 
@@ -41,9 +44,11 @@ def refresh(spark: SparkSession, base: str, steps: Sequence[Step]) -> Callable[.
 
     Returns the reader for the outputs below `base`.
     """
-    read = reader(spark, base)
+    schemas: dict[str, T.StructType] = {}
+    read = reader(spark, base, schemas)
     for step in steps:
         df = step.build(spark, read)
+        schemas[step.name] = df.schema
         if step.kind == STREAM:
             finish(append_to_files(df, f"{base}/{step.name}", f"{base}/_checkpoints/{step.name}"))
         elif step.kind == VIEW:

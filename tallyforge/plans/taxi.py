@@ -43,17 +43,20 @@ def valid_features(features: DataFrame) -> DataFrame:
 
 
 def fares_as_decimal(trips: DataFrame, *order: Column) -> DataFrame:
-    """De-duplicated on time and zones, fares as DECIMAL(10,2)."""
-    return keep_first(trips, TRIP_KEY, *order).withColumn(
-        "fare_amount", F.col("fare_amount").cast("decimal(10,2)")
-    )
+    """De-duplicated on time and zones, fares as DECIMAL(10,2); NULL for a fare that does not fit."""
+    return keep_first(trips, TRIP_KEY, *order).withColumn("fare_amount", money("fare_amount"))
+
+
+def money(amount: str | Column) -> Column:
+    """DECIMAL(10,2), or NULL where the amount does not fit."""
+    return (F.col(amount) if isinstance(amount, str) else amount).try_cast("decimal(10,2)")
 
 
 def surge_pricing(trips: DataFrame, zone: int, first_hour: int = 17, end_hour: int = 19) -> DataFrame:
     """Fares of one pickup zone raised by 10 % from first_hour up to, not including, end_hour."""
     hour = F.hour("pickup_at")
     peak = (F.col("pickup_zip") == zone) & (hour >= first_hour) & (hour < end_hour)
-    raised = (F.col("fare_amount") * F.lit("1.10").cast("decimal(3,2)")).cast("decimal(10,2)")
+    raised = money(F.col("fare_amount") * F.lit("1.10").cast("decimal(3,2)"))
     return update_where(trips, peak, {"fare_amount": raised})
 
 

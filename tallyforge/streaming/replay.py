@@ -18,8 +18,12 @@ def write_ordered_batches(
     """
     files = max(1, df.count() // batches // rows_per_file)
     cut = ordered_batches(df, batches, F.col(time), F.col(unique))
+    # Numbered and written once, by batch; then each folder is copied from its own rows alone.
+    laid = f"{path}-by-batch"
+    cut.write.mode("overwrite").partitionBy("batch_id").parquet(laid)
+    spark = df.sparkSession
     for batch in range(batches):
-        part = cut.filter(F.col("batch_id") == batch).repartition(files)
+        part = spark.read.schema(df.schema).parquet(f"{laid}/batch_id={batch}").repartition(files)
         part.write.mode("overwrite").parquet(f"{path}/batch={batch}")
     return files
 

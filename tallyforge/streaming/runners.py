@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import threading
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyforge.sources.snapshots import position, write_version
 
@@ -73,24 +76,64 @@ def finish_all(start: Mapping[str, Callable[[], StreamingQuery]], at_once: bool
     return running
 
 
-def progress(query: StreamingQuery) -> list[dict]:
-    """One record per trigger: batch, rows read, rows dropped as late, observed metrics."""
-    records = []
-    for entry in query.recentProgress:
-        late = sum(op.get("numRowsDroppedByWatermark", 0) for op in entry["stateOperators"])
-        observed = {
-            name: row.asDict() if hasattr(row, "asDict") else row
-            for name, row in (entry.get("observedMetrics") or {}).items()
-        }
-        records.append(
-            {
-                "batch_id": entry["batchId"],
-                "input_rows": entry["numInputRows"],
-                "late_rows": late,
-                "observed": observed,
-            }
+class Totals(StreamingQueryListener):
+    """Adds up what the queries of a session report, trigger by trigger.
+
+    A query itself remembers its last triggers only. Here each one is counted as it happens, and what is held does
+    not grow with their number.
+    """
+
+    def __init__(self):
+        self._found: dict[str, dict] = defaultdict(
+            lambda: {"triggers": 0, "input_rows": 0, "late_rows": 0, "observed": defaultdict(lambda: defaultdict(int))}
         )
-    return records
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        self._ended[str(event.runId)].clear()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        entry, total = event.progress, self._found[str(event.progress.runId)]
+        total["triggers"] += 1
+        total["input_rows"] += entry.numInputRows
+        total["late_rows"] += sum(op.numRowsDroppedByWatermark for op in entry.stateOperators)
+        for name, row in (entry.observedMetrics or {}).items():
+            for metric, value in row.asDict().items():
+                total["observed"][name][metric] += value or 0
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, wait: float = 60.0) -> dict:
+        """Triggers, rows read, rows dropped as late and sums of observed metrics of a query that has ended."""
+        if not self._ended[str(query.runId)].wait(wait):
+            raise TimeoutError("the query has not reported its end")
+        total = self._found[str(query.runId)]
+        return {**total, "observed": {name: dict(metrics) for name, metrics in total["observed"].items()}}
+
+    def observed(self, name: str, wait: float = 60.0) -> dict[str, int]:
+        """Sums of one observation over all queries that have ended by now."""
+        for ended in list(self._ended.values()):
+            ended.wait(wait)
+        sums: dict[str, int] = defaultdict(int)
+        for total in list(self._found.values()):
+            for metric, value in total["observed"].get(name, {}).items():
+                sums[metric] += value
+        return dict(sums)
+
+
+@contextmanager
+def counted(spark: SparkSession) -> Iterator[Totals]:
+    """Count the triggers of all queries that start inside."""
+    totals = Totals()
+    spark.streams.addListener(totals)
+    try:
+        yield totals
+    finally:
+        spark.streams.removeListener(totals)
 
 
 def active_names(spark: SparkSession) -> Sequence[str]:

@@ -1,38 +1,76 @@
-"""Merge every micro-batch of a stream into a versioned table."""
+"""Merge every micro-batch of a stream into a table, rewriting only the part that the batch touches.
+
+The table is plain Parquet, partitioned by a hash bucket of the keys:
+
+    <path>/table/bucket=N         the rows of a bucket
+    <path>/staged/batch=N/...     the touched buckets as batch N leaves them, and `done` once they are complete
+
+A batch reads its buckets, writes their new rows to the staging folder, and then replaces the buckets by a dynamic
+partition overwrite. A batch that is repeated after a failure finds its staged rows and only replaces the buckets
+again, so a crash at any point can be repeated. One writer at a time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge.operators.changes import merge_into
 from tallyforge.operators.dedup import keep_first
-from tallyforge.operators.layout import kept
-from tallyforge.sources.snapshots import position, read_version, write_version
+from tallyforge.operators.layout import bucket_of, kept
+
+BUCKETS = 64
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The table as it is."""
+    return spark.read.parquet(f"{path}/table").drop("bucket")
+
+
+def _replace_buckets(spark: SparkSession, path: str, batch_id: int) -> None:
+    staged = spark.read.parquet(f"{path}/staged/batch={batch_id}/rows")
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(f"{path}/table")
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], newest_first: Sequence[Column], buckets: int = BUCKETS) -> None:
+    """Put the newest row of each key of a batch into the table."""
+    spark = batch.sparkSession
+    staged = f"{path}/staged/batch={batch_id}"
+    if not _exists(spark, f"{staged}/done"):
+        newest = bucket_of(keep_first(batch, keys, *newest_first), buckets, *keys)
+        # The merge looks at the changes several times.
+        with kept(newest) as changes:
+            touched = [r.bucket for r in changes.select("bucket").distinct().collect()]  # at most `buckets` numbers
+            state = changes
+            if _exists(spark, f"{path}/table"):
+                current = spark.read.parquet(f"{path}/table").where(F.col("bucket").isin(touched))
+                state = merge_into(current.select(changes.columns), changes, [*keys, "bucket"])
+            state.repartition("bucket").write.mode("overwrite").parquet(f"{staged}/rows")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{staged}/done")
+    _replace_buckets(spark, path, batch_id)
 
 
 def upsert_stream(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], newest_first: Sequence[Column]
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], newest_first: Sequence[Column], buckets: int = BUCKETS
 ) -> StreamingQuery:
-    """Keep one row per key in the table at `path`, the newest of each batch.
-
-    A batch that is repeated after a failure is recognised by its number and skipped.
-    """
+    """Keep one row per key in the table at `path`, the newest of each batch. Keep `buckets` as it is for a table."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest, seen = position(spark, path, batch_id)
-        if seen:
-            return
-        # The merge looks at the changes several times.
-        with kept(keep_first(batch, keys, *newest_first)) as changes:
-            if latest is None:
-                write_version(changes, path, "upsert", batch_id, version=0)
-            else:
-                state = merge_into(read_version(spark, path, latest), changes, keys)
-                write_version(state, path, "upsert", batch_id, version=latest + 1)
+        upsert_batch(batch, batch_id, path, keys, newest_first, buckets)
 
     return (
         stream.writeStream.foreachBatch(save)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import tiers
 from tallyforge.operators import aggregates, evaluation
-from tallyforge.plans.customers import customer_totals
+from tallyforge.plans.customers import profiles
 from tallyforge.plans.trips import by_direction
 from tallyforge.workload.registry import day, query, r, rounded
 
@@ -112,7 +112,7 @@ SPENT_BY_STATE = """
     "transactions customers",
 )
 def conditional_share(t):
-    spent = customer_totals(t.transactions).join(t.customers.select("customer_id", "state"), "customer_id")
+    spent = profiles(t.transactions, "total_spent").join(t.customers.select("customer_id", "state"), "customer_id")
     shares = aggregates.share_above(spent, ["state"], "total_spent", 2_000_000)
     return rounded(shares, avg_spending_per_customer=4, high_value_percentage=6)
 
@@ -196,7 +196,7 @@ def unpivot(t):
     "transactions customers",
 )
 def two_levels(t):
-    spent = customer_totals(t.transactions).join(t.customers.select("customer_id", "state"), "customer_id")
+    spent = profiles(t.transactions, "total_spent").join(t.customers.select("customer_id", "state"), "customer_id")
     return spent.groupBy("state").agg(r(F.max("total_spent")).alias("largest"), r(F.avg("total_spent"), 4).alias("mean"))
 
 
@@ -386,8 +386,15 @@ def segment_spread(t):
     segments = t.customers.join(totals, "customer_id").select(
         tiers.age_group("age").alias("age_group"), tiers.spending_tier("total_spent").alias("spending_tier"), "total_spent"
     )
+    spent = F.col("total_spent")
+    spread = aggregates.described(
+        segments, ["age_group", "spending_tier"], "total_spent",
+        {"p25_spending": 0.25, "median_spending": 0.5, "p75_spending": 0.75, "p95_spending": 0.95},
+        customer_count=F.count("*"), avg_spending=F.avg(spent), spending_stddev=F.stddev(spent),
+        min_spending=F.min(spent), max_spending=F.max(spent),
+    )
     return rounded(
-        aggregates.spread_by_group(segments, ["age_group", "spending_tier"], "total_spent"),
+        spread.withColumn("coefficient_of_variation", F.try_divide("spending_stddev", "avg_spending")),
         avg_spending=4, spending_stddev=3, min_spending=2, max_spending=2, p25_spending=2, median_spending=2,
         p75_spending=2, p95_spending=2, coefficient_of_variation=6,
     )

@@ -9,15 +9,23 @@ from tallyforge.sources import snapshots
 from tallyforge.workload.registry import query, r, rounded
 
 
+def with_large_fares(t):
+    """Some fares don't fit the type that they are changed to, or only until they are raised."""
+    zone = F.col("dropoff_zip")
+    fare = F.when(zone == 10049, 1e9).when(zone == 10048, 95e6).otherwise(F.col("fare_amount"))
+    return t.taxi.withColumn("fare_amount", fare)
+
+
 @query(
     "mu01_update",
     """SELECT pickup_zip, dropoff_zip, CASE WHEN pickup_zip = 10001 AND hour(pickup_at) >= 17 AND hour(pickup_at) < 19
-              THEN CAST(CAST(fare_amount AS DECIMAL(10,2)) * CAST(1.10 AS DECIMAL(3,2)) AS DECIMAL(10,2))
-              ELSE CAST(fare_amount AS DECIMAL(10,2)) END::VARCHAR AS fare FROM taxi""",
+              THEN try_cast(try_cast(fare AS DECIMAL(10,2)) * CAST(1.10 AS DECIMAL(3,2)) AS DECIMAL(10,2))
+              ELSE try_cast(fare AS DECIMAL(10,2)) END::VARCHAR AS fare
+       FROM (SELECT *, CASE dropoff_zip WHEN 10049 THEN 1e9 WHEN 10048 THEN 95e6 ELSE fare_amount END AS fare FROM taxi)""",
     "taxi",
 )
 def update(t):
-    priced = t.taxi.withColumn("fare_amount", F.col("fare_amount").cast("decimal(10,2)"))
+    priced = with_large_fares(t).withColumn("fare_amount", taxi.money("fare_amount"))
     return taxi.surge_pricing(priced, 10001).select("pickup_zip", "dropoff_zip", F.col("fare_amount").cast("string").alias("fare"))
 
 
@@ -65,13 +73,14 @@ def add_columns(t):
 
 @query(
     "mu05_change_type",
-    """SELECT pickup_zip, dropoff_zip, CAST(fare_amount AS DECIMAL(10,2))::VARCHAR AS fare FROM (
-         SELECT *, row_number() OVER (PARTITION BY pickup_at, pickup_zip, dropoff_zip ORDER BY fare_amount, dropoff_at) AS rn FROM taxi)
+    """SELECT pickup_zip, dropoff_zip, try_cast(fare AS DECIMAL(10,2))::VARCHAR AS fare FROM (
+         SELECT *, row_number() OVER (PARTITION BY pickup_at, pickup_zip, dropoff_zip ORDER BY fare, dropoff_at) AS rn
+         FROM (SELECT *, CASE dropoff_zip WHEN 10049 THEN 1e9 WHEN 10048 THEN 95e6 ELSE fare_amount END AS fare FROM taxi))
        WHERE rn = 1""",
     "taxi",
 )
 def change_type(t):
-    decimals = taxi.fares_as_decimal(t.taxi, F.col("fare_amount"), F.col("dropoff_at"))
+    decimals = taxi.fares_as_decimal(with_large_fares(t), F.col("fare_amount"), F.col("dropoff_at"))
     return decimals.select("pickup_zip", "dropoff_zip", F.col("fare_amount").cast("string").alias("fare"))
 
 

@@ -90,13 +90,16 @@ def email_class(t):
     "ud04_anomaly",
     """SELECT transaction_id, coalesce(CASE WHEN s = 0 THEN abs(amount - m) > m * 0.5 ELSE abs(amount - m) / s > 2 END, false)
               AS is_anomaly
-       FROM transactions JOIN (SELECT customer_id, avg(amount) AS m, stddev_samp(amount) AS s FROM transactions GROUP BY 1)
-         USING (customer_id)""",
+       FROM (SELECT *, CASE WHEN transaction_id % 50 <> 0 THEN customer_id END AS buyer FROM transactions)
+       LEFT JOIN (SELECT CASE WHEN transaction_id % 50 <> 0 THEN customer_id END AS buyer, avg(amount) AS m, stddev_samp(amount) AS s
+                  FROM transactions GROUP BY 1) USING (buyer)""",
     "transactions",
 )
 def anomaly(t):
-    stats = customer_plans.customer_totals(t.transactions).select("customer_id", "avg_amount", "std_amount")
-    joined = salted_join(t.transactions, stats, ["customer_id"], ["transaction_id"])
+    """Some transactions have no customer; they are kept and are no anomaly."""
+    known = t.transactions.withColumn("customer_id", F.when(F.col("transaction_id") % 50 != 0, F.col("customer_id")))
+    stats = customer_plans.profiles(known, "avg_amount", "std_amount")
+    joined = salted_join(known, stats, ["customer_id"], ["transaction_id"], "left")
     return joined.select("transaction_id", scores.is_anomaly("amount", "avg_amount", "std_amount").alias("is_anomaly"))
 
 
@@ -274,12 +277,15 @@ def text_features(t):
 
 @query(
     "ud15_doubled",
-    """SELECT ride_id, coalesce(try_cast(CASE WHEN rideable_type = 'classic_bike' THEN start_station_id ELSE started_at END AS INT) * 2, 0)
-              AS doubled FROM trips_raw""",
+    """SELECT ride_id, coalesce(try_cast(try_cast(CASE WHEN rideable_type <> 'classic_bike' THEN started_at WHEN member_casual = 'casual'
+              THEN start_station_id || '00000000' ELSE start_station_id END AS INT)::BIGINT * 2 AS INT), 0) AS doubled FROM trips_raw""",
     "trips_raw",
 )
 def doubled(t):
-    mixed = F.when(F.col("rideable_type") == "classic_bike", F.col("start_station_id")).otherwise(F.col("started_at"))
+    """Some of the numbers are too large, or too large once doubled."""
+    station = F.col("start_station_id")
+    large = F.when(F.col("member_casual") == "casual", F.concat(station, F.lit("00000000"))).otherwise(station)
+    mixed = F.when(F.col("rideable_type") == "classic_bike", large).otherwise(F.col("started_at"))
     return t.trips_raw.withColumn("mixed", mixed).select("ride_id", validation.doubled("mixed").alias("doubled"))
 
 
@@ -287,7 +293,7 @@ VALUES = """
     SELECT customer_id, 'email' AS kind, email AS value FROM customers
     UNION ALL SELECT customer_id, 'phone', phone FROM customers
     UNION ALL SELECT transaction_id, 'currency', CASE transaction_id % 4 WHEN 0 THEN '$' || CAST(CAST(amount AS DECIMAL(12,2)) AS VARCHAR)
-                WHEN 1 THEN '-$' || CAST(CAST(amount AS DECIMAL(12,2)) AS VARCHAR) WHEN 2 THEN 'free' ELSE NULL END FROM transactions
+                WHEN 1 THEN '-$' || CAST(CAST(amount AS DECIMAL(12,2)) AS VARCHAR) WHEN 2 THEN CASE WHEN transaction_id % 3 = 0 THEN repeat('9', 40) ELSE 'free' END ELSE NULL END FROM transactions
     UNION ALL SELECT transaction_id, 'date', CASE transaction_id % 4 WHEN 0 THEN strftime(transaction_date, '%Y-%m-%d')
                 WHEN 1 THEN strftime(transaction_date, '%m/%d/%Y') WHEN 2 THEN strftime(transaction_date, '%d-%m-%Y')
                 ELSE 'some day' END FROM transactions
@@ -297,7 +303,7 @@ VALUES = """
 @query(
     "ud16_validate",
     f"""WITH v AS ({VALUES}), p AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS digits, lower(trim(value)) AS cleaned,
-              try_cast(regexp_replace(value, '[^0-9.-]', '', 'g') AS DOUBLE) AS number,
+              try_cast(try_cast(regexp_replace(value, '[^0-9.-]', '', 'g') AS DOUBLE) AS DECIMAL(38,2)) AS number,
               CASE WHEN customer_id % 4 = 3 OR kind <> 'date' THEN NULL ELSE (SELECT max(transaction_date) FROM transactions t
                    WHERE t.transaction_id = v.customer_id) END AS d FROM v),
         q AS (SELECT *, CASE WHEN length(digits) = 10 THEN digits WHEN length(digits) = 11 AND digits[1] = '1' THEN digits[2:11] END AS local FROM p)
@@ -312,7 +318,7 @@ VALUES = """
                ELSE CASE WHEN value IS NULL THEN 'Missing date' WHEN d IS NULL THEN 'Invalid date format' ELSE '' END END AS validation_errors,
           CASE kind WHEN 'email' THEN CASE WHEN contains(value, '@') THEN cleaned ELSE coalesce(value, '') END
                WHEN 'phone' THEN coalesce('(' || local[1:3] || ') ' || local[4:6] || '-' || local[7:10], value, '')
-               WHEN 'currency' THEN coalesce('$' || CAST(CAST(number AS DECIMAL(18,2)) AS VARCHAR), value, '')
+               WHEN 'currency' THEN coalesce('$' || CAST(number AS VARCHAR), value, '')
                ELSE coalesce(strftime(d, '%Y-%m-%d'), value, '') END AS cleansed_value
         FROM q""",
     "customers transactions",
@@ -320,7 +326,8 @@ VALUES = """
 def validate(t):
     money = F.col("amount").cast("decimal(12,2)").cast("string")
     turn = F.col("transaction_id") % 4
-    shown_money = F.when(turn == 0, F.concat(F.lit("$"), money)).when(turn == 1, F.concat(F.lit("-$"), money)).when(turn == 2, "free")
+    odd = F.when(F.col("transaction_id") % 3 == 0, "9" * 40).otherwise("free")
+    shown_money = F.when(turn == 0, F.concat(F.lit("$"), money)).when(turn == 1, F.concat(F.lit("-$"), money)).when(turn == 2, odd)
     shown_date = (
         F.when(turn == 0, F.date_format("transaction_date", "yyyy-MM-dd"))
         .when(turn == 1, F.date_format("transaction_date", "MM/dd/yyyy"))
@@ -350,7 +357,8 @@ def rules(t):
     state = F.when(F.col("customer_id") % 3 == 0, "TX").otherwise("XX")
     balance = F.when(F.col("customer_id") % 10 == 0, "-5.5").otherwise("2000")
     record = F.concat_ws(
-        "|", F.concat(F.lit("age="), F.col("age").cast("string")),
+        "|", F.when(F.col("customer_id") % 6 == 0, "amount=999999|state=none"),  # repeated fields: the last counts
+        F.concat(F.lit("age="), F.col("age").cast("string")),
         F.concat(F.lit("amount="), (F.col("customer_id") * 37 % 20000).cast("string")),
         F.concat(F.lit("state="), state), F.concat(F.lit("balance="), balance),
     )

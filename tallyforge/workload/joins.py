@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators import joins
 from tallyforge.operators.skew import broadcast_if_small, salted_join
 from tallyforge.operators.totals import with_totals
-from tallyforge.plans.customers import customer_totals, sales_by_state_and_category
+from tallyforge.plans.customers import profiles, sales_by_state_and_category
 from tallyforge.workload.registry import query, r, rounded
 
 
@@ -24,7 +24,7 @@ def inner(t):
     "customers transactions",
 )
 def left_outer(t):
-    totals = customer_totals(t.transactions)
+    totals = profiles(t.transactions, "total_spent", "transaction_count")
     return t.customers.join(totals, "customer_id", "left").select(
         "customer_id", "state", F.coalesce("transaction_count", F.lit(0)).alias("transaction_count"),
         r("total_spent").alias("total_spent"),
@@ -36,18 +36,20 @@ def left_outer(t):
     """SELECT coalesce(d.station, a.station) AS station, coalesce(departures, 0) AS departures,
               coalesce(arrivals, 0) AS arrivals
        FROM (SELECT start_station_name AS station, count(*) AS departures FROM trips_raw
-             WHERE start_lat < end_lat AND start_station_name IS NOT NULL GROUP BY 1) d
-       FULL JOIN (SELECT end_station_name AS station, count(*) AS arrivals FROM trips_raw
-             WHERE start_lat < end_lat GROUP BY 1) a ON d.station = a.station""",
+             WHERE start_station_name IS NOT NULL GROUP BY 1) d
+       FULL JOIN (SELECT CASE WHEN end_station_id::INT % 5 = 0 THEN end_station_name || ' depot' ELSE end_station_name END AS station,
+                         count(*) AS arrivals FROM trips_raw GROUP BY 1) a ON d.station = a.station""",
     "trips_raw",
 )
 def full_outer_counts(t):
-    rising = t.trips_raw.filter("start_lat < end_lat")
+    """Some trips end at depots, where none starts, so both sides have stations the other lacks."""
     departures = (
-        rising.filter("start_station_name IS NOT NULL")
+        t.trips_raw.filter("start_station_name IS NOT NULL")
         .groupBy(F.col("start_station_name").alias("station")).agg(F.count("*").alias("departures"))
     )
-    arrivals = rising.groupBy(F.col("end_station_name").alias("station")).agg(F.count("*").alias("arrivals"))
+    depot = F.concat("end_station_name", F.lit(" depot"))
+    end = F.when(F.col("end_station_id").cast("int") % 5 == 0, depot).otherwise(F.col("end_station_name"))
+    arrivals = t.trips_raw.groupBy(end.alias("station")).agg(F.count("*").alias("arrivals"))
     return joins.merge_counts(departures, arrivals, ["station"], ["departures", "arrivals"])
 
 
@@ -61,10 +63,12 @@ def with_one_row(t):
     return rounded(with_totals(t.supplier.select("s_suppkey", "s_acctbal"), overall), mean=6)
 
 
-@query("jn05_without_match", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+@query("jn05_without_match", "SELECT * FROM (SELECT c_custkey, c_name FROM customer UNION ALL SELECT -1 - c_custkey, c_name FROM customer) WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def without_match(t):
-    large = t.orders.filter("o_totalprice > 400000")
-    return joins.without_match(t.customer, large, "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    """Every customer has orders, so prospects with keys of their own are added."""
+    people = t.customer.select("c_custkey", "c_name")
+    prospects = people.withColumn("c_custkey", -1 - F.col("c_custkey"))
+    return joins.without_match(people.unionByName(prospects), t.orders, "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query(

@@ -138,14 +138,9 @@ def customer_360(t):
     "transactions customers",
 )
 def shared_base(t):
-    base = cust.customer_base(t.customers, t.transactions)
-    analyses = {
-        "segment": (cust.segment_behaviour(t.transactions, base), "spending_segment", "category"),
-        "geography": (cust.geographic_patterns(t.transactions, base), "state", "age_group"),
-        "payment": (cust.payment_preferences(t.transactions, base), "spending_segment", "payment_method"),
-    }
     result = None
-    for name, (df, first, second) in analyses.items():
+    for name, df in cust.shared_analyses(t.transactions, t.customers).items():
+        first, second = cust.SHARED_ANALYSES[name]
         part = df.select(
             F.lit(name).alias("analysis"), F.col(first).alias("first_key"), F.col(second).alias("second_key"),
             r("total_sales").alias("total_sales"), "transaction_count", r("avg_amount", 6).alias("avg_amount"),
@@ -162,7 +157,7 @@ def shared_base(t):
     "transactions customers",
 )
 def transaction_features(t):
-    features = cust.transaction_features(t.transactions, cust.customer_base(t.customers, t.transactions))
+    features = cust.against_customer(t.transactions, t.customers)
     return features.select("transaction_id", "is_high_value", r("customer_lifetime_ratio", 9).alias("customer_lifetime_ratio"))
 
 
@@ -173,7 +168,8 @@ def transaction_features(t):
     "transactions customers",
 )
 def segment_analysis(t):
-    return rounded(cust.segment_analysis(t.transactions, t.customers, 150, 10), total=2, average=6)
+    """The ten largest are the report."""
+    return rounded(cust.largest_totals(cust.state_category_totals(t.transactions, t.customers, 150), "total", 10), total=2, average=6)
 
 
 @query(
@@ -326,10 +322,10 @@ def mention_rows(t):
     return posts.mention_rows(t.posts).withColumn("timestamp", stamp("timestamp"))
 
 
-def scored_posts(t):
+def scored_posts(t, *also):
     """Mention rows with a score that follows from the text, in place of a model."""
     label = F.when(F.length("cleaned_text") % 3 == 0, "NEGATIVE").when(F.length("cleaned_text") % 3 == 1, "POSITIVE").otherwise("NEUTRAL")
-    rows = posts.mention_rows(t.posts).withColumn(
+    rows = posts.mention_rows(t.posts, *also).withColumn(
         "scored", F.struct(label.alias("label"), (F.length("cleaned_text") % 100 / 100.0).alias("score"))
     )
     return posts.with_sentiment_ids(rows)
@@ -385,7 +381,7 @@ def order_facts(t):
         F.col("customer_id").cast("int").alias("customer_id"), F.when(F.col("email").isNotNull(), F.col("name")).alias("name"),
         "email", F.col("state").alias("region"), "signup_date",
     )
-    summary = orders.daily_summary(orders.order_facts(raw, orders.known_customers(people)))
+    summary = orders.per_day_and_region(orders.with_customers(raw, people))
     return summary.withColumns({"order_date": day("order_date"), "total_revenue": r(F.col("total_revenue").cast("double"))})
 
 
@@ -425,7 +421,7 @@ def prediction_errors(t):
     "posts",
 )
 def counters(t):
-    return posts.counters(t.posts, posts.mention_rows(t.posts))
+    return posts.counters(t.posts)
 
 
 @query(
@@ -438,14 +434,7 @@ def counters(t):
     "posts",
 )
 def top_lists(t):
-    by_mention = posts.sentiment_by_mention(scored_posts(t))
-    users = t.posts.groupBy("user").agg(F.count("*").alias("n"))
-    lists = {"users": (users, "user", "n"), "positive": (by_mention, "mention", "positive"), "negative": (by_mention, "mention", "negative")}
-    result = None
-    for name, (df, label, value) in lists.items():
-        part = posts.top(df, label, value).select(F.lit(name).alias("list"), F.col(label).alias("label"), F.col(value).alias("value"))
-        result = part if result is None else result.unionByName(part)
-    return result
+    return posts.top_lists(scored_posts(t, "user", "first_of_post"))
 
 
 @query(

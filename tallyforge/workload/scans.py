@@ -51,12 +51,12 @@ def json_lines(t):
 
 @query(
     "src05_text_lines",
-    "SELECT n_nationkey || ',' || n_name AS value FROM nation UNION ALL SELECT s_suppkey || ',' || s_name FROM supplier WHERE s_suppkey > 5",
+    "SELECT n_nationkey || ',' || n_name AS value FROM nation UNION ALL SELECT s_suppkey || ',' || s_name FROM supplier",
 )
 def text_lines(t):
     path = shared_dir(t.spark, "lines")
-    suppliers = t.supplier.filter("s_suppkey > 5").select(F.col("s_suppkey").cast("int").alias("n_nationkey"), F.col("s_name").alias("n_name"))
-    header = t.nation.filter("n_nationkey = 0").select(F.lit("key").alias("n_nationkey"), F.lit("name").alias("n_name"))
+    suppliers = t.supplier.select(F.col("s_suppkey").cast("int").alias("n_nationkey"), F.col("s_name").alias("n_name"))
+    header = t.spark.createDataFrame([("key", "name")], "n_nationkey STRING, n_name STRING")
     rows = t.nation.select(F.col("n_nationkey").cast("string").alias("n_nationkey"), "n_name").union(
         suppliers.withColumn("n_nationkey", F.col("n_nationkey").cast("string"))
     )
@@ -72,13 +72,15 @@ def table_scan(t):
 
 @query(
     "src07_in_memory",
-    "SELECT n_nationkey::BIGINT AS id, n_name, CASE n_regionkey WHEN 0 THEN 'first' WHEN 1 THEN 'second' END AS label FROM nation WHERE n_regionkey < 2",
+    "SELECT n_nationkey::BIGINT AS id, n_name, CASE n_regionkey WHEN 0 THEN 'first' WHEN 1 THEN 'second' ELSE 'other' END AS label FROM nation",
 )
 def in_memory(t):
-    """A range and a few literal rows, joined with a table."""
+    """A range up to the table's largest key and a few literal rows, joined with the table."""
     labels = t.spark.createDataFrame([(0, "first"), (1, "second")], "n_regionkey INT, label STRING")
-    numbers = t.spark.range(0, 1000, numPartitions=4)
-    return numbers.join(t.nation, F.col("id") == F.col("n_nationkey")).join(labels, "n_regionkey").select("id", "n_name", "label")
+    largest = t.nation.agg(F.max("n_nationkey")).first()[0]
+    numbers = t.spark.range(0, largest + 1, numPartitions=4)
+    named = numbers.join(t.nation, F.col("id") == F.col("n_nationkey")).join(labels, "n_regionkey", "left")
+    return named.select("id", "n_name", F.coalesce("label", F.lit("other")).alias("label"))
 
 
 @query("src09_current_state", "SELECT p_partkey, p_size FROM part WHERE p_size <= 25")
@@ -164,15 +166,14 @@ def split_fields(t):
 
 @query(
     "snk01_formats_agree",
-    """SELECT fmt, count(*) AS row_count, round(sum(p_retailprice), 2) AS total FROM part, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)
-       WHERE p_retailprice > 905 GROUP BY 1""",
+    """SELECT fmt, count(*) AS row_count, round(sum(p_retailprice), 2) AS total FROM part, (VALUES ('csv'), ('json'), ('parquet')) f(fmt) GROUP BY 1""",
 )
 def formats_agree(t):
     ddl = "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
     result = None
     for fmt in ("csv", "json", "parquet"):
         reader = t.spark.read.schema(ddl).option("header", True).format(fmt)
-        part = reader.load(written(t, t.part, fmt)).filter("p_retailprice > 905").agg(
+        part = reader.load(written(t, t.part, fmt)).agg(
             F.lit(fmt).alias("fmt"), F.count("*").alias("row_count"), r(F.sum("p_retailprice")).alias("total")
         )
         result = part if result is None else result.unionByName(part)
@@ -226,7 +227,8 @@ def temp_view(t):
 @query("snk11_typed_table", "SELECT n_nationkey::BIGINT AS key, n_name AS name FROM nation")
 def typed_table(t):
     path = shared_dir(t.spark, "typed")
-    name = "typed_" + path.rsplit("-", 1)[-1]
+    name = "typed_nations"
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.StringType())])
     sinks.create_table(t.spark, name, schema, path)
     sinks.write_table(t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key")), name)

@@ -38,9 +38,9 @@ CLOSED_HOURS = """
 """
 
 
-@query("snk06_append_sink", "SELECT event_id, event_type, value FROM events WHERE value > 50")
+@query("snk06_append_sink", "SELECT event_id, event_type, value FROM events")
 def append_sink(t):
-    return appended(t, event_stream(t).filter("value > 50").select("event_id", "event_type", "value"))
+    return appended(t, event_stream(t).select("event_id", "event_type", "value"))
 
 
 @query("snk07_complete_sink", "SELECT event_type, count(*) AS row_count FROM events GROUP BY 1")
@@ -168,11 +168,11 @@ def filter_and_project(t):
 
 @query(
     "sm08_stream_static",
-    "SELECT event_id, event_type, name AS customer_name, state FROM events JOIN customers ON user_id = customer_id WHERE age IS NOT NULL",
+    "SELECT event_id, event_type, name AS customer_name, state FROM events JOIN customers ON user_id = customer_id",
     "customers",
 )
 def stream_static(t):
-    people = t.customers.filter("age IS NOT NULL").select(
+    people = t.customers.select(
         F.col("customer_id").alias("user_id"), F.col("name").alias("customer_name"), "state"
     )
     enriched = metrics.enrich(event_stream(t), people, "user_id", ["customer_name", "state"])
@@ -226,7 +226,7 @@ def upserted(t):
     stream = replay.replay(t.spark, f"{base}/in", t.events.schema, files)
     newest = [F.desc("ts"), F.desc("event_id")]
     runners.finish(upsert.upsert_stream(stream, f"{base}/table", f"{base}/checkpoint", ["user_id"], newest))
-    return snapshots.read_version(t.spark, f"{base}/table").select("user_id", "event_id", "event_type", "value")
+    return upsert.read_upserted(t.spark, f"{base}/table").select("user_id", "event_id", "event_type", "value")
 
 
 @query(
@@ -299,10 +299,10 @@ def followed(t):
     """What a finished query reports about itself."""
     base = shared_dir(t.spark, "followed")
     watched = event_stream(t).observe("seen", F.count("*").alias("n"))
-    query = runners.finish(runners.append_to_files(watched.select("event_id"), f"{base}/data", f"{base}/checkpoint", name="followed"))
-    records = runners.progress(query)
-    observed = sum(record["observed"]["seen"]["n"] for record in records if record["observed"])
-    facts = (sum(record["input_rows"] for record in records), observed, query.isActive)
+    with runners.counted(t.spark) as totals:
+        query = runners.finish(runners.append_to_files(watched.select("event_id"), f"{base}/data", f"{base}/checkpoint", name="followed"))
+        total = totals.of(query)
+    facts = (total["input_rows"], total["observed"]["seen"]["n"], query.isActive)
     return t.spark.createDataFrame([facts], "input_rows LONG, observed_rows LONG, still_active BOOLEAN")
 
 

@@ -1,6 +1,6 @@
 """Window functions, sorting and top-k."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tallyforge.functions.times import day_number
 from tallyforge.operators import numbering, windows
@@ -14,7 +14,7 @@ TOTALS = """
 
 
 def spent_by_customer(t):
-    totals = customer_plans.customer_totals(t.transactions)
+    totals = customer_plans.profiles(t.transactions, "total_spent", "transaction_count")
     return t.customers.select("customer_id", "name", "state").join(totals, "customer_id")
 
 
@@ -105,13 +105,18 @@ def monthly_sales(t):
     "transactions",
 )
 def next_value(t):
-    trend = windows.neighbour_trend(monthly_sales(t), "category", "year_month", "monthly_sales")
-    return trend.select(
+    sales = windows.neighbours(monthly_sales(t), "category", ["year_month"], "monthly_sales", previous_value=1, next_value=-1)
+    return sales.filter("previous_value IS NOT NULL").select(
         "category", "year_month", r("monthly_sales").alias("monthly_sales"), r("previous_value").alias("previous_value"),
         F.coalesce(r("next_value"), F.lit(-1.0)).alias("next_value"),
     )
 
 
+def with_moving_figures(sales):
+    month = F.col("monthly_sales")
+    return windows.moving(sales, "category", ["year_month"], 3, moving_avg=F.avg(month), moving_sum=F.sum(month))
+
+
 MOVING = f"""
     SELECT *, avg(monthly_sales) OVER (PARTITION BY category ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_avg,
            sum(monthly_sales) OVER (PARTITION BY category ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_sum,
@@ -126,7 +131,7 @@ MOVING = f"""
     "transactions",
 )
 def moving_average(t):
-    moved = windows.moving_figures(monthly_sales(t), "category", "year_month", "monthly_sales")
+    moved = with_moving_figures(monthly_sales(t))
     return rounded(moved.select("category", "year_month", "moving_avg", "moving_sum"), moving_avg=4, moving_sum=2)
 
 
@@ -139,8 +144,10 @@ def moving_average(t):
     "transactions",
 )
 def rank_and_label(t):
-    moved = windows.moving_figures(monthly_sales(t), "category", "year_month", "monthly_sales")
-    return moved.select("category", "year_month", F.col("sales_rank").cast("long").alias("sales_rank"), "trend_indicator")
+    moved = with_moving_figures(monthly_sales(t))
+    place = F.rank().over(Window.partitionBy("category").orderBy(F.desc("monthly_sales"))).cast("long")
+    label = windows.against_average(r(F.col("monthly_sales") - F.col("moving_avg"), 4))
+    return moved.select("category", "year_month", place.alias("sales_rank"), label.alias("trend_indicator"))
 
 
 @query(
@@ -170,8 +177,11 @@ def deviation(t):
     "transactions",
 )
 def trend(t):
-    labelled = windows.neighbour_trend(monthly_sales(t), "category", "year_month", "monthly_sales")
-    return labelled.select("category", "year_month", r("change_pct", 4).alias("change_pct"), "trend_direction")
+    sales = windows.neighbours(monthly_sales(t), "category", ["year_month"], "monthly_sales", previous_value=1)
+    changed = sales.withColumn("change", windows.change_pct("monthly_sales", "previous_value")).filter("change IS NOT NULL")
+    return changed.select(
+        "category", "year_month", r("change", 4).alias("change_pct"), windows.change_label(F.col("change")).alias("trend_direction")
+    )
 
 
 @query(
