@@ -6,7 +6,7 @@ import json
 import os
 import time
 
-from tallyforge.session import build_session
+from tallyforge.session import build_session, scratch
 from tallyforge.workload import load_queries
 
 HEADLINE = (
@@ -15,13 +15,15 @@ HEADLINE = (
     "ud04_anomaly", "ud12_rfm", "ud14_text_features", "mu03_merge", "dq08_report", "pl02_lifetime_value",
     "pl04_cohort_retention", "pl07_customer_360", "pl10_executive_report", "pl12_station_connections",
     "pl17_sentiment_by_mention", "sm03_hourly_windows",
+    "pl08_shared_base", "pl22b_top_lists", "mu09_compact", "sm12_upsert", "sm15_replay", "ml03_text_classifier",
 )
 
 
 def run(spark, folder: str, name: str) -> float:
     """Seconds to build the query and write its rows to nowhere."""
     started = time.perf_counter()
-    load_queries()[name].run(spark, folder).write.format("noop").mode("overwrite").save()
+    with scratch(spark):
+        load_queries()[name].run(spark, folder).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - started
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,16 +63,36 @@ def _shared_base(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+# The folder of the innermost `scratch`, below which shared folders are made.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder name below the shared folder the cluster names."""
-    return f"{_shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unique folder name below the shared folder the cluster names, or inside the current `scratch`."""
+    return f"{_SCRATCH.get() or _shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is stored inside is removed at the end, from whatever file system holds the shared folder.
+
+    Use or write the results before the end: a DataFrame that reads a stored table can't be read afterwards.
+    """
+    folder = f"{_shared_base(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The DataFrame written to the shared folder and read back: computed once, whatever is lost later.
 
-    Columnar, so a reader that needs few columns reads few. The folder is left to
-    the clean-up of the shared folder.
+    Columnar, so a reader that needs few columns reads few. The folder is removed with the
+    `scratch` it is made in; without one it is left to the clean-up of the shared folder.
     """
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)

@@ -38,11 +38,19 @@ def distinct_count(t):
     return t.transactions.groupBy("category").agg(F.count_distinct("customer_id").alias("unique_customers"))
 
 
-@query("ag05_approx_distinct")
+@query(
+    "ag05_approx_distinct",
+    "SELECT strftime(sold_at, '%Y-%m-%d') AS transaction_date, count(DISTINCT customer_id) AS active_customers, true AS close FROM sales GROUP BY 1",
+    "sales",
+)
 def approx_distinct(t):
-    return t.sales.groupBy(day(F.to_date("sold_at")).alias("transaction_date")).agg(
-        F.approx_count_distinct("customer_id", 0.02).alias("active_customers")
+    """The approximate count next to the exact one: within three relative deviations."""
+    deviation = 0.02
+    counts = t.sales.groupBy(day(F.to_date("sold_at")).alias("transaction_date")).agg(
+        F.approx_count_distinct("customer_id", deviation).alias("approximate"), F.count_distinct("customer_id").alias("active_customers")
     )
+    off = F.abs(F.col("approximate") - F.col("active_customers"))
+    return counts.select("transaction_date", "active_customers", (off <= F.ceil(3 * deviation * F.col("active_customers"))).alias("close"))
 
 
 @query(

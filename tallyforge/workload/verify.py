@@ -6,6 +6,7 @@ import math
 import sys
 import time
 
+from tallyforge.session import scratch
 from tallyforge.workload import load_queries
 from tallyforge.workload.registry import Query
 from tallyforge.workload.standins import BASE_TABLES
@@ -34,8 +35,9 @@ def _plain(value):
 
 def differences(spark, connection, folder: str, query: Query) -> list[str]:
     """What differs between a query and its SQL; empty when they agree."""
-    df = query.run(spark, folder)
-    rows = df.collect()
+    with scratch(spark):
+        df = query.run(spark, folder)
+        rows = df.collect()
     if query.sql is None:
         return [] if rows else ["no rows"]
     cursor = connection.execute(query.sql)
