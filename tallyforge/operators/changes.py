@@ -1,6 +1,6 @@
 """Update, delete, merge and schema change as functions from one table state to the next.
 
-Pair them with tallyforge.sources.snapshots, which stores each state as a version.
+Pair them with tallyforge.sources.states, which keeps states side by side.
 """
 
 from __future__ import annotations

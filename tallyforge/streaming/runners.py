@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tallyforge.sources.snapshots import position, write_version
+from tallyforge.sources.states import write_state
 
 
 def _trigger(every: str | None) -> dict:
@@ -30,12 +30,10 @@ def append_to_files(
 def replace_result(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None
 ) -> StreamingQuery:
-    """Complete mode: each trigger writes the whole result as the next version of a versioned table."""
+    """Complete mode: each trigger writes the whole result as a state, numbered as the batch; a repeated one replaces itself."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        latest, seen = position(batch.sparkSession, path, batch_id)
-        if not seen:
-            write_version(batch, path, "replace", batch_id, version=0 if latest is None else latest + 1)
+        write_state(batch, path, batch_id, "replace")
 
     writer = stream.writeStream.outputMode("complete").foreachBatch(save)
     if name:

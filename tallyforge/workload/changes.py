@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators import changes
 from tallyforge.plans import taxi
 from tallyforge.session import shared_dir
-from tallyforge.sources import snapshots
+from tallyforge.sources import states
 from tallyforge.workload.registry import query, r, rounded
 
 
@@ -92,11 +92,11 @@ def old_version(t):
     """Version 0 still reads as it was after two changes."""
     path = shared_dir(t.spark, "suppliers")
     table = t.supplier.select("s_suppkey", "s_acctbal")
-    snapshots.write_version(table, path, "create")
+    states.write_state(table, path, 0, "create")
     poorer = changes.update_where(table, F.col("s_acctbal") > 0, {"s_acctbal": F.lit(0.0)})
-    snapshots.write_version(poorer, path, "update")
-    snapshots.write_version(changes.delete_where(poorer, F.col("s_suppkey") > 3), path, "delete")
-    return snapshots.read_version(t.spark, path, 0)
+    states.write_state(poorer, path, 1, "update")
+    states.write_state(changes.delete_where(poorer, F.col("s_suppkey") > 3), path, 2, "delete")
+    return states.read_state(t.spark, path, 0)
 
 
 @query(
@@ -117,14 +117,14 @@ def compare_versions(t):
 )
 def history(t):
     path = shared_dir(t.spark, "parts")
-    snapshots.write_version(t.part, path, "create")
-    snapshots.write_version(changes.delete_where(t.part, F.col("p_size") > 40), path, "delete")
-    return snapshots.history(t.spark, path).select("version", "operation", "rows")
+    states.write_state(t.part, path, 0, "create")
+    states.write_state(changes.delete_where(t.part, F.col("p_size") > 40), path, 1, "delete")
+    return states.history(t.spark, path).select("version", "operation", "rows")
 
 
 @query("mu09_compact", "SELECT l_orderkey, l_suppkey, l_extendedprice FROM lineitem")
 def compact(t):
     path = shared_dir(t.spark, "lines")
-    snapshots.write_version(t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice").repartition(16), path, "create")
-    snapshots.compact(t.spark, path, "l_suppkey", 4)
-    return snapshots.read_version(t.spark, path)
+    states.write_state(t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice").repartition(16), path, 0, "create")
+    states.write_state(states.clustered(states.read_state(t.spark, path), "l_suppkey", 4), path, 1, "compact")
+    return states.read_state(t.spark, path)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 from tallyforge.operators import layout
 from tallyforge.plans.trips import RAW_COLUMNS
 from tallyforge.session import shared_dir
-from tallyforge.sources import files, ingest, sinks, snapshots
+from tallyforge.sources import files, ingest, sinks, states
 from tallyforge.streaming.runners import append_to_files, finish
 from tallyforge.workload.registry import query, r, rounded, stamp
 
@@ -87,9 +87,9 @@ def in_memory(t):
 def current_state(t):
     path = shared_dir(t.spark, "state")
     parts = t.part.select("p_partkey", "p_size")
-    snapshots.write_version(parts, path, "create")
-    snapshots.write_version(parts.filter("p_size <= 25"), path, "delete")
-    return snapshots.read_version(t.spark, path)
+    states.write_state(parts, path, 0, "create")
+    states.write_state(parts.filter("p_size <= 25"), path, 1, "delete")
+    return states.read_state(t.spark, path)
 
 
 @query("src10_stream_csv", "SELECT ride_id, started_at, start_lat, member_casual FROM trips_raw", "trips_raw")

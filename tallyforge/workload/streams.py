@@ -7,7 +7,7 @@ from tallyforge.operators import models
 from tallyforge.plans import orders as order_plan, posts as post_plan, trips as trip_plan
 from tallyforge.plans.steps import refresh
 from tallyforge.session import shared_dir
-from tallyforge.sources import ingest, sinks, snapshots
+from tallyforge.sources import ingest, sinks, states
 from tallyforge.streaming import metrics, replay, runners, upsert
 from tallyforge.workload.registry import query, r, rounded, stamp
 
@@ -25,7 +25,7 @@ def appended(t, stream):
 def replaced(t, stream):
     base = shared_dir(t.spark, "replaced")
     runners.finish(runners.replace_result(stream, f"{base}/table", f"{base}/checkpoint"))
-    return snapshots.read_version(t.spark, f"{base}/table")
+    return states.read_state(t.spark, f"{base}/table")
 
 
 def hourly(t):
@@ -214,8 +214,8 @@ def three_queries(t):
         }
     )
     tables = {
-        "by_type": snapshots.read_version(t.spark, f"{base}/by_type"),
-        "by_source": snapshots.read_version(t.spark, f"{base}/by_source"),
+        "by_type": states.read_state(t.spark, f"{base}/by_type"),
+        "by_source": states.read_state(t.spark, f"{base}/by_source"),
         "hourly": t.spark.read.parquet(f"{base}/hourly"),
     }
     result = None

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tallyforge.sources import databases, files, ingest, sinks, snapshots
+from tallyforge.sources import databases, files, ingest, sinks, states
 from tallyforge.streaming.runners import append_to_files, finish
 
 SCHEMA = T.StructType(
@@ -119,40 +119,31 @@ def test_orders_are_typed_and_filtered(spark, tmp_path):
     assert [str(r["amount"]) for r in landed.collect()] == ["3.10"]
 
 
-def test_snapshot_versions_and_history(spark, table, rows, tmp_path):
-    path = str(tmp_path / "table")
-    assert snapshots.latest_version(spark, path) is None
-    with pytest.raises(FileNotFoundError):
-        snapshots.read_version(spark, path)
-    snapshots.write_version(table, path, "create")
-    snapshots.write_version(table.filter("id > 1"), path, "delete", batch_id=4)
-    assert snapshots.latest_version(spark, path) == 1
-    assert rows(snapshots.read_version(spark, path, 0)) == rows(table)
-    assert snapshots.read_version(spark, path).count() == 2
-    assert snapshots.position(spark, path, 4) == (1, True)
-    assert snapshots.position(spark, path, 5) == (1, False)
-    assert rows(snapshots.history(spark, path).select("version", "operation", "rows")) == [
-        (0, "create", 3), (1, "delete", 2)
-    ]
-
-
-def test_compaction_keeps_rows_and_cuts_files(spark, rows, tmp_path):
-    path = str(tmp_path / "table")
-    many = spark.range(500).select("id", (F.col("id") % 7).alias("zone")).repartition(16)
-    snapshots.write_version(many, path, "create")
-    before = snapshots.read_version(spark, path)
-    snapshots.compact(spark, path, "zone", 3)
-    after = snapshots.read_version(spark, path)
-    assert rows(after) == rows(before)
-    assert len(after.inputFiles()) <= 3 < len(before.inputFiles())
-
-
-def test_compaction_splits_a_hot_value(spark, tmp_path):
-    path = str(tmp_path / "table")
-    snapshots.write_version(spark.range(4000).select("id", F.lit(1).alias("zone")), path, "create")
-    snapshots.compact(spark, path, "zone", 4)
-    sizes = [
-        r["count"] for r in
-        snapshots.read_version(spark, path).groupBy(F.input_file_name()).count().collect()
-    ]
+def test_states_side_by_side(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id INT, name STRING")
+    states.write_state(table, path, 0, "create")
+    for _ in range(2):  # a repeated write replaces itself
+        states.write_state(table.filter("id > 1"), path, 1, "delete")
+    assert states.latest_version(spark, path) == 1
+    assert rows(states.read_state(spark, path, 0)) == rows(table)
+    assert states.read_state(spark, path).columns == table.columns and states.read_state(spark, path).count() == 2
+    assert rows(states.history(spark, path)) == [(0, "create", 3), (1, "delete", 2)]
+    states.write_state(table.limit(0), path, 2, "empty")
+    assert states.latest_version(spark, path) == 2 and states.read_state(spark, path).count() == 0
+
+
+def test_clustering_lets_files_be_skipped(spark, rows, tmp_path):
+    many = spark.range(4000).select("id", (F.col("id") * 7919 % 100).alias("zone")).repartition(8)
+    states.write_state(states.clustered(many, "zone", 3), str(tmp_path / "t"), 0, "compact")
+    kept = states.read_state(spark, str(tmp_path / "t"))
+    assert rows(kept) == rows(many)
+    spans = kept.groupBy(F.input_file_name()).agg(F.min("zone"), F.max("zone")).collect()
+    assert len(spans) == 3 and sorted(s[2] for s in spans)[0] <= sorted(s[1] for s in spans)[-1]
+
+
+def test_clustering_spreads_one_value(spark, tmp_path):
+    same = spark.range(4000).select("id", F.lit(1).alias("zone"))
+    states.write_state(states.clustered(same, "zone", 4), str(tmp_path / "t"), 0, "compact")
+    sizes = [r["count"] for r in states.read_state(spark, str(tmp_path / "t")).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000

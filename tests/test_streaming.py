@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.plans import orders, posts, trips
 from tallyforge.plans.steps import Step, refresh
-from tallyforge.sources import snapshots
+from tallyforge.sources import states
 from tallyforge.sources.ingest import stream_parquet
 from tallyforge.streaming import metrics, replay, runners, upsert
 
@@ -70,7 +70,7 @@ def test_complete_mode_replaces_the_result(spark, tmp_path):
         sales(spark, minutes, first).write.mode("append").parquet(path)
         totals = metrics.totals_by(source(spark, path), ["shop"], "price")
         runners.finish(runners.replace_result(totals, f"{base}/t", f"{base}/c"))
-    result = {r["shop"]: r["transaction_count"] for r in snapshots.read_version(spark, f"{base}/t").collect()}
+    result = {r["shop"]: r["transaction_count"] for r in states.read_state(spark, f"{base}/t").collect()}
     assert result == {"s0": 3, "s1": 2}
 
 
