@@ -39,12 +39,11 @@ def delete(t):
     return taxi.without_invalid(taxi.with_durations(t.taxi)).select("pickup_zip", "dropoff_zip", "fare_amount")
 
 
-@query(
-    "mu03_merge",
-    """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer
-       UNION ALL SELECT -1 - c_custkey, 'new', c_acctbal + 1000 FROM customer WHERE c_mktsegment = 'MACHINERY'""",
-)
-def merge(t):
+MERGED = """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer
+       UNION ALL SELECT -1 - c_custkey, 'new', c_acctbal + 1000 FROM customer WHERE c_mktsegment = 'MACHINERY'"""
+
+
+def corrected_accounts(t, **options):
     """Accounts in debt are corrected, and accounts with new keys are added."""
     columns = ("c_custkey", "c_name", "c_acctbal")
     target = t.customer.select(*columns)
@@ -53,7 +52,18 @@ def merge(t):
     new = raised.filter("c_mktsegment = 'MACHINERY'").select(
         (-1 - F.col("c_custkey")).alias("c_custkey"), F.lit("new").alias("c_name"), "c_acctbal"
     )
-    return changes.merge_into(target, corrections.union(new), ["c_custkey"], update=["c_acctbal"])
+    return changes.merge_into(target, corrections.union(new), ["c_custkey"], update=["c_acctbal"], **options)
+
+
+@query("mu03_merge", MERGED)
+def merge(t):
+    return corrected_accounts(t)
+
+
+@query("mu03b_merge_shuffled", MERGED)
+def merge_shuffled(t):
+    """The way of a source too large to be sent to the target."""
+    return corrected_accounts(t, broadcast_rows=0)
 
 
 @query(

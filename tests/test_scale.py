@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import evaluation, layout, models, numbering, quality, skew, totals, windows
 from tallyforge.plans import customers as cust, franchises, trips
-from tallyforge.session import shared_dir, stored
+from tallyforge.session import scratch, shared_dir, stored
 from tallyforge.workload import load_queries
 
 
@@ -264,3 +264,15 @@ def test_trip_counts_of_a_round_trip(spark):
     )
     row = trips.station_connections(trips.clean_trips(raw), "A").first()
     assert (row["other_station"], row["departure_count"], row["arrival_count"], row["lat"], row["t_lat"]) == ("A", 1, 1, 3.0, 1.0)
+
+
+def test_scratch_removes_what_is_stored_in_it(spark, tmp_path):
+    import os
+
+    with scratch(spark) as folder:
+        kept = stored(spark.range(3), "three")
+        assert kept.count() == 3 and os.path.isdir(folder) and kept.inputFiles()[0].startswith(f"file://{folder}")
+        with scratch(spark) as inner:
+            assert shared_dir(spark, "x").startswith(inner)
+        assert shared_dir(spark, "x").startswith(folder)
+    assert not os.path.exists(folder) and not shared_dir(spark, "x").startswith(folder)
