@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.llm import filters
-from tallyforge.llm.words import ALPHANUMERIC, LOWER, Words, membership, pieces, run_hashes, run_in_text, split, word_hashes
+from tallyforge.llm.words import ALPHANUMERIC, LOWER, Words, bounded_batches, membership, pieces, run_hashes, run_in_text, split, word_hashes
 from tallyforge.session import stored
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 3
@@ -149,7 +149,7 @@ def contaminated(
     rows of `docs` and rows with a null key get a row each. Other columns are ignored. Whole texts are searched.
     Only filters of a fixed size are broadcast; windows and documents meet in a shuffled join.
     """
-    broadcast = docs.sparkSession.sparkContext.broadcast
+    broadcast = bounded_batches(docs).sparkSession.sparkContext.broadcast
     windows = stored(item_windows(items, item_key, item_text, window, shingle), "item-windows")
     lengths = sorted(r.length for r in windows.select("length").distinct().collect()) or [shingle]  # at most `shingle` values
     counts = _shingle_counts(docs, text, lengths, broadcast(filters.build(windows, "h")))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.graph import components
 from tallyforge.llm.grouped import by_key, local_roots
+from tallyforge.llm.words import bounded_batches
 from tallyforge.operators.numbering import number_rows
 from tallyforge.session import stored
 
@@ -179,7 +180,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     double = F.col("vec").cast("array<double>")
     fine = F.forall(double, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(double, lambda x: x != 0)
     rows = df.select(F.col(key).alias("key"), F.col(vector).alias("vec")).withColumn("fine", F.coalesce(fine, F.lit(False)))
-    useful = rows.where("fine")
+    useful = bounded_batches(rows).where("fine")
     classes = stored(
         useful.groupBy("vec").agg(F.count("*").alias("copies"), F.min("key").alias("least"))
         .withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("vec"), "core": F.lit(None).cast("long")}),

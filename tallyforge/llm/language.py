@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyforge.llm.words import pieces
+from tallyforge.llm.words import bounded_batches, pieces
 
 DIMENSIONS = 1024
 SEED = 20
@@ -121,7 +121,7 @@ def prototypes(docs: DataFrame, label: Column, text: str = "text", dimensions: i
         )
 
     rows = (
-        docs.select(label.cast("string").alias("label"), text).where(f"label is not null and `{text}` is not null")
+        bounded_batches(docs).select(label.cast("string").alias("label"), text).where(f"label is not null and `{text}` is not null")
         .mapInArrow(run, "label string, vector array<long>")
         .select("label", F.posexplode("vector").alias("place", "value"))
         .groupBy("label", "place").agg(F.sum("value").alias("value"))
@@ -162,7 +162,7 @@ def identify(
 
     kind = T.StructType([*(docs.schema[c] for c in kept), T.StructField(prediction, T.StringType()), T.StructField(score, T.DoubleType())])
     schema = to_arrow_schema(kind)
-    return docs.select(*kept).mapInArrow(run, kind)
+    return bounded_batches(docs).select(*kept).mapInArrow(run, kind)
 
 
 def remainder(key: str, parts: int) -> Column:

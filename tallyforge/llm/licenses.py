@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm.words import ALPHANUMERIC, LOWER, Words, pieces, split, word_hashes
+from tallyforge.llm.words import ALPHANUMERIC, LOWER, Words, bounded_batches, pieces, split, word_hashes
 from tallyforge.session import stored
 
 # Phrases that name a license, and their labels.
@@ -157,7 +157,7 @@ def find_licenses(
     for template in templates.values():
         if not 1 <= len(words_of(template)) <= STEP_WORDS:
             raise ValueError(f"a template has 1 to {STEP_WORDS} words")
-    order = token_order(docs, text, sorted({w for t in templates.values() for w in words_of(t)}))
+    order = token_order(bounded_batches(docs), text, sorted({w for t in templates.values() for w in words_of(t)}))
     prefixes, prefix = template_prefixes(docs.sparkSession, templates, order, containment)
     scan = _scan(docs, key, text, phrases, order, prefix).withColumn("row", F.monotonically_increasing_id())
     rows = stored(scan, "license-scan")

@@ -21,6 +21,8 @@ import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from tallyforge.llm.words import bounded_batches
+
 END_ID = 0
 POOL = 512
 TOKENIZER = "byte_bpe_50k"
@@ -190,7 +192,7 @@ def pack(examples: DataFrame, key: str, parts: str, limits: Limits = Limits(), n
             yield pieces()
 
     longs = ", ".join(f"`{c}` long" for c in names[1:])
-    return examples.select(key, parts).mapInArrow(run, f"`{key}` {kind}, {longs}")
+    return bounded_batches(examples).select(key, parts).mapInArrow(run, f"`{key}` {kind}, {longs}")
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", limits: Limits = Limits()) -> DataFrame:

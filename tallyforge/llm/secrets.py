@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.llm import filters
-from tallyforge.llm.words import ALPHANUMERIC, LOWER, membership, pieces, split, word_hashes
+from tallyforge.llm.words import ALPHANUMERIC, LOWER, bounded_batches, membership, pieces, split, word_hashes
 from tallyforge.session import stored
 
 # The patterns, with the shortest match that counts, in the order of their kinds.
@@ -150,7 +150,7 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
                 found.append([dict(zip(("start", "end", "value"), s)) for s in values_in_context(t)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(span)), pa.array(found, pa.list_(value))], [key, "spans", "found"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, spans array<{_SPAN}>, found array<{_VALUE}>")
+    return bounded_batches(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, spans array<{_SPAN}>, found array<{_VALUE}>")
 
 
 def word_costs(docs: DataFrame, text: str, values: DataFrame) -> DataFrame:

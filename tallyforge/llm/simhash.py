@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.graph import components
 from tallyforge.llm.grouped import by_key, local_roots
-from tallyforge.llm.words import LOWER, UNSPACED, joined, pieces, split
+from tallyforge.llm.words import LOWER, UNSPACED, bounded_batches, joined, pieces, split
 from tallyforge.session import stored
 
 SHINGLE_WORDS, SEED, RADIUS = 3, 42, 2
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, length: int = SHINGLE_WOR
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], [key, "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, fp long")
+    return bounded_batches(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, fp long")
 
 
 def _steps(radius: int) -> list[tuple[int, ...]]:

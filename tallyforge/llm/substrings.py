@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyforge.llm.grouped import by_key
-from tallyforge.llm.words import UNSPACED, Words, joined, mixed, pieces, run_hashes, run_in_text, split, word_hashes
+from tallyforge.llm.words import UNSPACED, Words, bounded_batches, joined, mixed, pieces, run_hashes, run_in_text, split, word_hashes
 from tallyforge.session import stored
 
 WINDOW_WORDS, PERIOD = 35, 21
@@ -62,7 +62,7 @@ def _pieces(docs: DataFrame, key: str, text: str) -> DataFrame:
             if blobs:
                 yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(words, pa.int64())], ["rows", "n_words"])
 
-    made = docs.select(key, text).mapInArrow(run, "rows binary, n_words long")
+    made = bounded_batches(docs).select(key, text).mapInArrow(run, "rows binary, n_words long")
     return stored(made.withColumn("piece", F.monotonically_increasing_id()), "text-pieces")
 
 

@@ -12,8 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 PIECE_BYTES = 1 << 21
+BATCH_BYTES = 1 << 22
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _BYTES = np.arange(256)
 #: Upper-case A-Z to lower case; all other bytes stay.
@@ -27,6 +30,14 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Have the session hand texts to Python in batches of a few MB, whatever the number of rows, unless it sets a size of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is None:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column, and where each row starts; the last entry is the end."""
     if column.null_count:
