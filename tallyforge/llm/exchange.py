@@ -114,7 +114,8 @@ def answers_by_piece(vocabulary: DataFrame, values: DataFrame, kinds: tuple[str,
                     yield pa.RecordBatch.from_arrays([pa.array([member["piece"].as_py()]), pa.array([shard], pa.int32()), pa.array([mine], pa.binary())], ["piece", "shard", "found"])
 
     each = vocabulary.select("shard", "members").join(values, "shard").select("shard", "members", "found").mapInArrow(run, "piece long, shard int, found binary")
-    return each.dropDuplicates(["piece", "shard"]).groupBy("piece").agg(F.collect_list(F.struct("shard", "found")).alias("answers"))
+    # Pieces of equal content have one name; then a shard answers twice with the same values.
+    return each.groupBy("piece").agg(F.collect_list(F.struct("shard", "found")).alias("answers"))
 
 
 def found_for(items: Words, shards: int, answers, kinds: tuple[str, ...]) -> list[np.ndarray]:
