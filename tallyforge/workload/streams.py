@@ -236,7 +236,7 @@ def upserted(t):
     files = replay.write_ordered_batches(t.events, f"{base}/in", "ts", "event_id")
     stream = replay.replay(t.spark, f"{base}/in", t.events.schema, files)
     newest = [F.desc("ts"), F.desc("event_id")]
-    runners.finish(upsert.upsert_stream(stream, f"{base}/table", f"{base}/checkpoint", ["user_id"], newest))
+    runners.finish(upsert.upsert_stream(stream, f"{base}/table", f"{base}/checkpoint", ["user_id"], newest, buckets=8))
     return upsert.read_upserted(t.spark, f"{base}/table").select("user_id", "event_id", "event_type", "value")
 
 
