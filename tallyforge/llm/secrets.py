@@ -217,16 +217,17 @@ def _costly(docs: DataFrame, text: str, found: DataFrame, threshold: float) -> D
     )
 
 
-def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, corpus: DataFrame | None = None) -> DataFrame:
     """For each row of `docs`: `key` and `spans`, an array of (start, kind, end, guesses) sorted by start, then kind.
 
     Kinds 0 to 2 are the fixed patterns, with null guesses; 3 is a value in a credential context that costs at
     least 10 ** `threshold` guesses. Offsets count code points, ends are exclusive. Null and empty texts have no
-    spans. Repeated rows and rows with a null key each get a row of their own. Other columns are ignored.
+    spans. Repeated rows and rows with a null key each get a row of their own. Other columns are ignored. Words are
+    counted in the column `text` of `corpus`, for `docs` that are a part of it; without one in `docs`.
     """
     rows = stored(_scan(docs, key, text).withColumn("row", F.monotonically_increasing_id()), "secret-scan")
     found = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    costly = _costly(docs, text, found, threshold)
+    costly = _costly(docs if corpus is None else corpus, text, found, threshold)
     extra = (
         found.join(costly, "value").groupBy("row")
         .agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end", "guesses")).alias("extra"))
