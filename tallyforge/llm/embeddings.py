@@ -7,7 +7,7 @@ gathered. Equal vectors are one class before anything is compared.
 
 Groups larger than a window have an exact way of their own: vectors within half the angle of the threshold
 around their group's mean are all linked to each other, by the triangle inequality for angles. They are
-counted as one core, whatever its size, and windows count only the other pairs.
+counted as one core, whatever its size; all other pairs of such a group are compared block by block, exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ THRESHOLD, WINDOW, SEED = 0.95, 256, 8
 #: The share of links, of pairs just at the threshold, that all passes together may miss in expectation.
 MISSED = 0.02
 LEAST_PASSES = 8
+BLOCK_ROWS = 4096
 _BITS = 64
 
 
@@ -83,7 +84,7 @@ def _placed(classes: DataFrame, passes: int) -> DataFrame:
 def _compared(placed: DataFrame, passes: int, threshold: float, window: int) -> DataFrame:
     """`cid`, `links` and `root`, for each class and tile of each pass: copies that are linked and counted there, and the smallest class reached.
 
-    `placed` has a column `core`: pairs of one core are left out. A tile is four windows of ranks, with the last window of the tile before.
+    A tile is four windows of ranks, with the last window of the tile before.
     """
     tile_rows = 4 * window
     span = max(1, 1 << 40)  # tiles of a pass
@@ -110,7 +111,6 @@ def _compared(placed: DataFrame, passes: int, threshold: float, window: int) ->
                 unit = _matrix(rows.column("vec"))
                 ranks = rows.column("ranks").flatten().to_numpy().reshape(-1, passes)
                 cid, weight = rows.column("cid").to_numpy(), rows.column("copies").to_numpy()
-                core = rows.column("core").fill_null(-1).to_numpy(zero_copy_only=False)
                 home = rows.column("home").to_numpy(zero_copy_only=False)
                 links, found_a, found_b = np.zeros(len(cid), np.int64), [], []
                 for first in range(0, len(cid), 256):
@@ -119,7 +119,6 @@ def _compared(placed: DataFrame, passes: int, threshold: float, window: int) ->
                     i, j = np.nonzero(unit[low:last] @ unit[first:last].T >= threshold)
                     i, j = i + low, j + first
                     near = (i < j) & home[j] & (ranks[j, p] - ranks[i, p] <= window)
-                    near[near] &= (core[i[near]] < 0) | (core[i[near]] != core[j[near]])
                     i, j = i[near], j[near]
                     new = (np.abs(ranks[i, :p] - ranks[j, :p]) > window).all(axis=1)
                     i, j = i[new], j[new]
@@ -169,6 +168,47 @@ def _cores(placed: DataFrame, groups: DataFrame, threshold: float, window: int)
     return units.join(means, "group").where(dot >= length * F.lit(bound)).select("cid", F.col("group").alias("core"))
 
 
+def _counted_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
+    """`cid` and `links`, in parts: linked copies of the same group, but for pairs of a core. Each block outside the cores meets every block of its group."""
+
+    def blocks(rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+        counts = rows.groupBy("group").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias(side))
+        return rows.join(counts, "group").withColumn("block", F.pmod(F.xxhash64("cid"), F.col(side)).cast("int")), counts
+
+    left, lefts = blocks(members.where("core is null"), "lefts")
+    right, rights = blocks(members, "rights")
+    columns = ("cid", "dim", "vec", "copies", F.col("core").isNotNull().alias("in_core"))
+    left = left.join(rights, "group").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    left = left.select(F.xxhash64("group", "block", "other").alias("tile"), F.lit(True).alias("first"), *columns)
+    right = right.join(lefts, "group").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    right = right.select(F.xxhash64("group", "other", "block").alias("tile"), F.lit(False).alias("first"), *columns)
+
+    def compare(batches):
+        for _, tile in by_key(batches):
+            rows = tile.combine_chunks().to_batches()[0]
+            first = rows.column("first").to_numpy(zero_copy_only=False)
+            a, b = (rows.take(pa.array(np.flatnonzero(x))) for x in (first, ~first))
+            if not a.num_rows or not b.num_rows:
+                continue
+            one, two = _matrix(a.column("vec")), _matrix(b.column("vec"))
+            weight_a, weight_b = a.column("copies").to_numpy(), b.column("copies").to_numpy()
+            cid_a, cid_b = a.column("cid").to_numpy(), b.column("cid").to_numpy()
+            links_a, links_b = np.zeros(len(cid_a), np.int64), np.zeros(len(cid_b), np.int64)
+            for at in range(0, len(cid_a), 512):
+                part = slice(at, at + 512)
+                i, j = np.nonzero(one[part] @ two.T >= threshold)
+                i += at
+                new = cid_a[i] != cid_b[j]
+                i, j = i[new], j[new]
+                np.add.at(links_a, i, weight_b[j])
+                np.add.at(links_b, j, weight_a[i])
+            core = b.column("in_core").to_numpy(zero_copy_only=False)  # the others are a first side too
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([cid_a, cid_b[core]])), pa.array(np.concatenate([links_a, links_b[core]]))], ["cid", "links"])
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.unionByName(right).repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(compare, "cid long, links long")
+
+
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
     """For each row of `df`: `key`, `n_links` (other rows linked directly), `component_id` (the smallest key reached) and `kept`.
 
@@ -192,17 +232,18 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     groups = components(found.select("cid", "root"))
     groups = stored(groups.select(F.col("node").alias("cid"), F.col("root").alias("group")), "vector-groups")
 
-    # Members of large groups are counted anew, with their cores.
+    # Members of large groups are counted anew: their cores by number, all other pairs by blocks.
+    large = groups.groupBy("group").count().where(F.col("count") > window).select("group")
+    crowded = stored(groups.join(large, "group"), "large-group-members")
     cores = stored(_cores(placed, groups, threshold, window), "vector-cores")
-    crowded = groups.join(cores.select(F.col("core").alias("group")).distinct(), "group", "left_semi").select("cid")
-    again = stored(placed.drop("core").join(crowded, "cid").join(cores, "cid", "left").select(placed.columns), "crowded")
-    recount = _compared(again, passes, threshold, window).groupBy("cid").agg(F.sum("links").alias("links"))
+    again = stored(placed.drop("core").join(crowded, "cid").join(cores, "cid", "left").select("cid", "group", "dim", "vec", "copies", "core"), "crowded")
+    recount = _counted_in_blocks(again, threshold).groupBy("cid").agg(F.sum("links").alias("links"))
     core_copies = again.where("core is not null").groupBy("core").agg(F.sum("copies").alias("core_copies"))
     crowded_links = (
         again.join(recount, "cid", "left").join(core_copies, "core", "left")
         .select("cid", (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("core_copies") - F.col("copies"), F.lit(0))).alias("links"))
     )
-    plain_links = found.groupBy("cid").agg(F.sum("links").alias("links")).join(crowded, "cid", "left_anti")
+    plain_links = found.groupBy("cid").agg(F.sum("links").alias("links")).join(crowded.select("cid"), "cid", "left_anti")
     links = plain_links.unionByName(crowded_links)
 
     named = classes.join(groups, "cid", "left").withColumn("group", F.coalesce("group", "cid"))
