@@ -72,6 +72,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{_SCRATCH.get() or _shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, from whatever file system holds it; one that is not there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """What is stored inside is removed at the end, from whatever file system holds the shared folder.
@@ -84,8 +90,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _SCRATCH.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
