@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tallyforge.llm import secrets
-from tests.llm import test_decontamination, test_packing, test_secrets, test_simhash
+from tests.llm import test_decontamination, test_packing, test_resemblance, test_secrets
 
 
 def test_masked():
@@ -37,8 +37,8 @@ def test_stages_over_the_whole_table(spark, folder, tmp_path):
         if name == "language ID":
             assert after == {k: r for k, r in before.items() if r.text and any(c.isalpha() for c in r.text)}
         elif name == "SimHash near-dedup":
-            groups = test_simhash.brute_force([(k, r.text) for k, r in before.items()])
-            assert after == {k: before[k] for k, _, component in groups if k == component}
+            roots = test_resemblance.brute_force([(k, r.text) for k, r in before.items()])
+            assert after == {k: before[k] for k, root in roots.items() if k == root}
             assert len(after) < len(before)
         elif name == "benchmark decontamination":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
@@ -79,6 +79,20 @@ def test_odd_rows_go_through_all_stages(spark, make, folder):
     assert {r.fingerprint for r in docs.collect()} == {"extra"}
 
 
+def test_columns_of_any_name_pass_through(spark, make, folder):
+    """Columns with names that stages use for themselves, in upper case as well, keep their values."""
+    names = ["_language", "_likeness", "_row_a", "_ROW_B", "_spans", "__spans", "key", "component_id", "bands", "count"]
+    rows = [(k, t, lang, f"source {k}", len(t or ""), *(f"{n} {k}" for n in names)) for k, t, lang in ODD if k is not None]
+    docs = make(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in cp.STAGES[:-1]:
+        columns = docs.columns
+        docs = cp.stored(stage(spark, docs, folder), "names")
+        assert docs.columns == columns
+    found = docs.collect()
+    assert found and all(r[n] == f"{n} {r.doc_id}" for r in found for n in names)
+    assert cp.pack_sequences(spark, docs, folder).count()
+
+
 @pytest.mark.parametrize("number", range(len(cp.STAGES)))
 def test_empty_table(spark, folder, number):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
