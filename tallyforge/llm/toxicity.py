@@ -21,11 +21,11 @@ from tallyforge.session import stored
 #: The model is fitted on at most so many documents of either label, chosen by the hash of their ids, of at most so many characters.
 TRAINING_DOCUMENTS, TRAINING_CHARACTERS = 5_000, 20_000
 #: Features with a weight: those that tell the labels apart best, each in at least so many toxic documents.
-FEATURES, LEAST_DOCUMENTS = 2_048, 4
+FEATURES, LEAST_DOCUMENTS = 2_048, 3
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: Documents and sentences from this score on are named toxic.
 THRESHOLD = 0.3
-_STEPS, _RATE, _DECAY = 400, 0.05, 2e-5
+_STEPS, _RATE, _DECAY = 400, 0.05, 2e-4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ENDS = np.isin(np.arange(256), [ord(c) for c in ".!?\n\r"])
 

@@ -53,15 +53,15 @@ def test_learns_and_locates(make):
     rows, labels = table(make, rng, 900)
     docs, known = make(rows, "doc_id long, text string"), make(labels, "doc_id long, toxic int")
     model = toxicity.learn(docs, known)
-    texts = dict(rows)
+    texts, right = dict(rows), 0
     for r in toxicity.judge(docs, model).collect():
-        assert (r.score >= toxicity.THRESHOLD) == (r.doc_id % 5 == 0), (r.doc_id, r.score)
+        right += (r.score >= toxicity.THRESHOLD) == (r.doc_id % 5 == 0)
         want, each = brute_scores(model, texts[r.doc_id])
         assert abs(r.score - want) < 1e-9 and r.sentences == len(each)
         assert [round(s.score, 9) for s in r.offending] == [round(p, 9) for p in each if p >= toxicity.THRESHOLD]
         for s in r.offending:
             assert any(w in texts[r.doc_id][s.start : s.end].lower() for w in BAD)
-    assert model.weights.max() > 1
+    assert right >= 0.97 * len(rows) and model.weights.max() > 1
 
 
 def test_fit_follows_the_gradient_of_the_likelihood():
@@ -90,14 +90,14 @@ def test_fit_follows_the_gradient_of_the_likelihood():
 
 
 def test_held_out_accuracy_on_the_whole_table(spark):
-    """On a larger table, by the ids that are held out."""
-    folder = "/root/testdata/sf0.01"
+    """On a larger table, by the ids that are held out; about one label in fifty is noise."""
+    folder = "/root/testdata/sf0.1"
     found = {r.doc_id: r for r in toxicity.op13_multiple_instance_toxicity(spark, folder).collect()}
     assert len(found) == spark.read.parquet(f"{folder}/documents.parquet").count()
     held = [(r.toxic, found[r.doc_id]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if found[r.doc_id].held_out and r.toxic is not None]
     bad, good = [f for t, f in held if t], [f for t, f in held if not t]
-    assert sum(f.predicted for f in bad) >= 0.6 * len(bad)
-    assert sum(f.predicted for f in good) <= 0.05 * len(good)
+    assert sum(f.predicted for f in bad) >= 0.85 * len(bad)
+    assert sum(f.predicted for f in good) <= 0.02 * len(good)
     assert all(0 <= f.score <= 1 and f.predicted == (f.score >= 0.3) for f in found.values())
 
 
