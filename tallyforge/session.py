@@ -72,10 +72,16 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{_SCRATCH.get() or _shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it takes it."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder, from whatever file system holds it; one that is not there is no error."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = file_system(spark, folder)
+    system.delete(path, True)
 
 
 @contextmanager

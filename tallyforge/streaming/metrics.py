@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyforge.operators.mergeable import Measure, distinct, row_count, total
+
 LATENESS = "10 minutes"
 
 
@@ -55,6 +57,11 @@ def running_totals(stream: DataFrame, key: str, value: str, customer: str) -> Da
     )
 
 
+def running_measures(value: str, customer: str) -> dict[str, Measure]:
+    """The totals of `running_totals` in a form that is stored and merged, for `views.refresh_view`."""
+    return {"total_sales": total(value), "total_transactions": row_count(), "unique_customers": distinct(customer)}
+
+
 def across_keys(windows: DataFrame) -> DataFrame:
     """Totals per window over all keys, from the rows of `windowed_totals`."""
     return windows.groupBy("window_start", "window_end").agg(

@@ -126,31 +126,89 @@ def test_upsert_keeps_the_newest_of_each_key(spark, rows, tmp_path):
     assert run() == [("s0", 70), ("s1", 1)]
 
 
+def keyed(spark, first, last, value):
+    return spark.range(first, last).select(F.col("id").alias("k"), F.lit(value).alias("v"))
+
+
+def rows_by_file(spark, path):
+    table = spark.read.parquet(f"{path}/table")
+    return {r[0]: r[1] for r in table.groupBy(F.input_file_name()).count().collect()}
+
+
 def test_upsert_rewrites_only_the_buckets_of_a_batch(spark, rows, tmp_path):
     path = str(tmp_path / "t")
-    first = spark.range(200).select(F.col("id").alias("k"), F.lit("old").alias("v"))
-    upsert.upsert_batch(first, 0, path, ["k"], [F.desc("v")], buckets=16)
+    upsert.upsert_batch(keyed(spark, 0, 2000, "old"), 0, path, ["k"], [F.desc("v")], bucket_rows=150)
     before = set(spark.read.parquet(f"{path}/table").inputFiles())
-    change = spark.createDataFrame([(7, "new"), (1000, "new")], "k LONG, v STRING")
-    upsert.upsert_batch(change, 1, path, ["k"], [F.desc("v")], buckets=16)
+    change = spark.createDataFrame([(7, "new"), (100_000, "new")], "k LONG, v STRING")
+    upsert.upsert_batch(change, 1, path, ["k"], [F.desc("v")], bucket_rows=150)
     after = set(spark.read.parquet(f"{path}/table").inputFiles())
-    assert 0 < len(before - after) <= 2 and len(before & after) >= 14
-    assert sorted(rows(upsert.read_upserted(spark, path).where("v = 'new'"))) == [(7, "new"), (1000, "new")]
-    assert upsert.read_upserted(spark, path).count() == 201
+    assert len(before) >= 16 and 0 < len(before - after) <= 2 and len(before & after) >= 14
+    assert sorted(rows(upsert.read_upserted(spark, path).where("v = 'new'"))) == [(7, "new"), (100_000, "new")]
+    assert upsert.read_upserted(spark, path).count() == 2001
+    assert not list((tmp_path / "t" / "staged").glob("*"))
+
+
+def test_upsert_splits_buckets_as_they_grow(spark, rows, tmp_path):
+    """Through several doublings; only buckets that grow are split, and keys are found in buckets of any depth."""
+    path, want, counts = str(tmp_path / "t"), {}, []
+    for number, (first, last) in enumerate([(0, 90), (60, 260), (200, 900), (0, 30), (850, 2000)]):
+        upsert.upsert_batch(keyed(spark, first, last, number), number, path, ["k"], [F.desc("v")], bucket_rows=100)
+        want.update({k: number for k in range(first, last)})
+        assert dict(rows(upsert.read_upserted(spark, path))) == want
+        assert upsert.read_upserted(spark, path).count() == len(want)
+        counts.append(len(upsert._folders(spark, f"{path}/table")))
+    assert counts[0] == 1 and counts[1] >= 2 and counts[2] >= 2 * counts[1] and counts[4] >= 16
+    sizes = [r["count"] for r in spark.read.parquet(f"{path}/table").groupBy("bits", "bucket").count().collect()]
+    assert max(sizes) < 200
+
+
+def test_upsert_bounds_what_a_task_writes(spark, tmp_path):
+    """One bucket of many rows has several writers."""
+    path = str(tmp_path / "t")
+    upsert.upsert_batch(keyed(spark, 0, 20_000, "a"), 0, path, ["k"], [F.desc("v")], bucket_rows=50_000, task_rows=2_000)
+    sizes = rows_by_file(spark, path)
+    assert len(sizes) >= 10 and max(sizes.values()) <= 2_000 and sum(sizes.values()) == 20_000
+
 
+def test_upsert_plan_gives_every_bucket_its_writers():
+    plan = upsert._plan({(1, 0): 10, (1, 1): 500, (3, 5): 90}, {(1, 0): 80, (1, 1): 700}, bucket_rows=100, task_rows=300)
+    assert [p[:3] for p in plan] == [(1, 0, 1), (1, 1, 5), (3, 5, 3)]
+    assert [p[3:] for p in plan] == [(0, 1), (1, 8), (9, 1)]
 
-def test_upsert_repeats_a_batch_that_died_while_replacing(spark, rows, tmp_path):
+
+@pytest.mark.parametrize("moved", [0, 1, 3, 100])
+def test_upsert_repeats_a_batch_that_died_while_moving(spark, rows, tmp_path, monkeypatch, moved):
+    """A batch ends after some of its folders were put in place or taken away, and comes again."""
+    path = str(tmp_path / "t")
+    upsert.upsert_batch(keyed(spark, 0, 300, 0), 0, path, ["k"], [F.desc("v")], bucket_rows=100)
+    left, real = [moved], upsert.remove
+
+    def dying(session, folder):
+        if left[0] == 0:
+            raise RuntimeError("lost")
+        left[0] -= 1
+        real(session, folder)
+
+    more = keyed(spark, 200, 700, 1)
+    monkeypatch.setattr(upsert, "remove", dying)
+    try:
+        upsert.upsert_batch(more, 1, path, ["k"], [F.desc("v")], bucket_rows=100)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(upsert, "remove", real)
+    upsert.upsert_batch(more, 1, path, ["k"], [F.desc("v")], bucket_rows=100)
+    assert dict(rows(upsert.read_upserted(spark, path))) == {k: int(k >= 200) for k in range(700)}
+    assert upsert.read_upserted(spark, path).count() == 700
+
+
+def test_upsert_of_empty_batches_and_null_keys(spark, tmp_path):
     path = str(tmp_path / "t")
-    first = spark.range(20).select(F.col("id").alias("k"), F.lit(0).alias("v"))
-    upsert.upsert_batch(first, 0, path, ["k"], [F.desc("v")], buckets=2)
-    more = spark.range(30).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    upsert.upsert_batch(more, 1, path, ["k"], [F.desc("v")], buckets=2)
-    want = rows(upsert.read_upserted(spark, path))
-    # A bucket was removed and not yet put back; the batch comes again.
-    import shutil
-    shutil.rmtree(f"{path}/table/bucket=1")
-    upsert.upsert_batch(more, 1, path, ["k"], [F.desc("v")], buckets=2)
-    assert rows(upsert.read_upserted(spark, path)) == want and len(want) == 30
+    upsert.upsert_batch(keyed(spark, 0, 0, "a"), 0, path, ["k"], [F.desc("v")])
+    nulls = spark.createDataFrame([(None, "x"), (None, "y"), (1, "z")], "k LONG, v STRING")
+    for number in (1, 2):
+        upsert.upsert_batch(nulls, number, path, ["k"], [F.desc("v")])
+    upsert.upsert_batch(keyed(spark, 0, 0, "a"), 3, path, ["k"], [F.desc("v")])
+    assert sorted(map(tuple, upsert.read_upserted(spark, path).collect()), key=repr) == [(1, "z"), (None, "y"), (None, "y")]
 
 
 def test_flow_over_an_empty_folder(spark, tmp_path):
