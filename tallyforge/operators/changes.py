@@ -37,6 +37,25 @@ def _unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
                        .otherwise(F.col("_source")).alias("_source"))
 
 
+def _taken(target: DataFrame, column: str, update: Sequence[str]) -> Column:
+    """A column of a target row after the merge."""
+    if column not in update:
+        return F.col(column)
+    given = F.col("_source").getField(column).cast(target.schema[column].dataType)
+    return F.when(F.col("_source").isNotNull(), given).otherwise(F.col(column)).alias(column)
+
+
+def _merged_at_once(target: DataFrame, unique: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+    """Updated, untouched and new rows from one full outer join."""
+    both = target.withColumn("_held", F.lit(True)).join(unique, list(keys), "full_outer")
+    new = F.col("_held").isNull()
+    columns = []
+    for c in target.columns:
+        given = F.col("_source").getField(c).cast(target.schema[c].dataType)
+        columns.append(F.when(new, given).otherwise(_taken(target, c, update)).alias(c))
+    return both.select(*columns)
+
+
 def merge_into(
     target: DataFrame,
     source: DataFrame,
@@ -44,6 +63,8 @@ def merge_into(
     update: Sequence[str] | None = None,
     spread_by: Sequence[str] | None = None,
     broadcast_rows: int = 100_000,
+    small: bool | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Update matched rows of `target`, append unmatched rows of `source`.
 
@@ -51,35 +72,32 @@ def merge_into(
     default). Several target rows may match one source row; the source must be
     unique per key. NULL keys never match.
 
-    A source of at most `broadcast_rows` rows, counted first, is sent to the target,
-    which then is not shuffled. Otherwise keys that repeat a lot in the target are
-    spread over tasks by the columns in `spread_by`.
+    A source of at most `broadcast_rows` rows is sent to the target, which then is not
+    shuffled. Otherwise both meet in one full outer join, which reads the target once; if
+    keys repeat a lot in the target, it is read twice instead, and these keys are spread over tasks by the
+    columns in `spread_by`. Which of these holds is measured first, unless the caller knows: `small` says
+    that the source can be broadcast, `hot` takes the result of `skew.hot_keys` for the target, {} if no key is.
     """
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
     has_keys = F.lit(True)
     for key in keys:
         has_keys = has_keys & F.col(key).isNotNull()
     unique = _unique_source(source.filter(has_keys), keys)
+    keyless = source.filter(~has_keys).select(*target.columns)
     spread_by = spread_by or target.columns
-    if is_small(source, broadcast_rows):
+    small = is_small(source, broadcast_rows) if small is None else small
+    if small:
         unique, hot = F.broadcast(unique), {}
     else:
-        hot = hot_keys(target, keys)
+        hot = hot_keys(target, keys) if hot is None else hot
+        if not hot:
+            return _merged_at_once(target, unique, keys, update).unionByName(keyless)
     matched = salted_join(target, unique, keys, spread_by, how="left", hot=hot)
-    kept = matched.select(
-        *[
-            F.when(F.col("_source").isNotNull(), F.col("_source").getField(c).cast(target.schema[c].dataType))
-            .otherwise(F.col(c)).alias(c)
-            if c in update else F.col(c)
-            for c in target.columns
-        ]
-    )
+    kept = matched.select(*[_taken(target, c, update) for c in target.columns])
     # Only keys that occur in the source are collected from the target.
     taken = salted_join(target, unique.select(*keys), keys, spread_by, how="left_semi", hot=hot)
     new = unique.join(taken.select(*keys).distinct(), list(keys), "left_anti").select("_source.*")
-    keyless = source.filter(~has_keys)
-    inserted = new.select(*target.columns).unionByName(keyless.select(*target.columns))
-    return kept.unionByName(inserted)
+    return kept.unionByName(new.select(*target.columns)).unionByName(keyless)
 
 
 def append_rows(table: DataFrame, more: DataFrame, evolve: bool = False) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators.evaluation import regression_metrics
+from tallyforge.session import file_system
 
 SEED = 42
 # Feature sets, trees and depth of the two fare models.
@@ -71,6 +72,24 @@ def fit_text_classifier(train: DataFrame, text: str, label: str, buckets: int =
     ).fit(train)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Write a fitted pipeline to a folder that all executors and later jobs reach, in place of an older one."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """A pipeline as `save_model` wrote it: it scores batches and streams without being trained again."""
+    return PipelineModel.load(path)
+
+
+def trained_once(spark: SparkSession, path: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+    """The model at `path`; if there is none, `fit` makes it and it is saved there. What is returned was loaded in both cases."""
+    system, folder = file_system(spark, f"{path}/metadata")
+    if not system.exists(folder):
+        save_model(fit(), path)
+    return load_model(path)
+
+
 def score_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add `scored`, a struct (label, score): the likelier class and its probability."""
     positive = vector_to_array("probability")[1]

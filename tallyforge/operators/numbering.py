@@ -17,7 +17,7 @@ from tallyforge.session import stored
 _POSITION_BITS = 33
 
 
-def _sorted_slices(df: DataFrame, order: list[Column]) -> DataFrame:
+def sorted_slices(df: DataFrame, order: list[Column]) -> DataFrame:
     """Range-partitioned and sorted copy of `df` with columns _slice and _pos, written once.
 
     Writing it fixes which row lies in which slice, also when an executor is lost.
@@ -48,13 +48,13 @@ def _with_offsets(laid: DataFrame, weight: Column) -> tuple[DataFrame, int]:
 
 def number_rows(df: DataFrame, *order: Column, name: str = "row_number") -> DataFrame:
     """Number all rows 1..n in the given order. End the order with a unique column."""
-    numbered, _ = _with_offsets(_sorted_slices(df, list(order)), F.lit(1))
+    numbered, _ = _with_offsets(sorted_slices(df, list(order)), F.lit(1))
     return numbered.select(*df.columns, (F.col("_before") + F.col("_pos") + 1).alias(name))
 
 
 def ordered_batches(df: DataFrame, batches: int, *order: Column, name: str = "batch_id") -> DataFrame:
     """Cut all rows, in order, into `batches` runs of equal length; the last also takes the remainder."""
-    numbered, total = _with_offsets(_sorted_slices(df, list(order)), F.lit(1))
+    numbered, total = _with_offsets(sorted_slices(df, list(order)), F.lit(1))
     length = max(1, total // batches)
     position = F.col("_before") + F.col("_pos")
     batch = F.least(F.floor(position / F.lit(length)), F.lit(batches - 1))
@@ -70,7 +70,7 @@ def percent_rank(df: DataFrame, value: str, descending: bool = True, name: str =
     df = stored(df, "ranked-rows")
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
     counts = df.groupBy(value).agg(F.count("*").alias("_n"))
-    laid, total = _with_offsets(_sorted_slices(counts, [order]), F.col("_n"))
+    laid, total = _with_offsets(sorted_slices(counts, [order]), F.col("_n"))
     in_slice = (
         Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     )

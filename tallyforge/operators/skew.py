@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The most keys that the sketch behind `hot_keys` can report and track.
 _MOST_KEYS, _MOST_TRACKED = 100_000, 1_000_000
@@ -37,8 +38,9 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "inner",
     hot: Mapping[int, int] | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join on `keys`, spreading each hot key of `left` over several tasks.
+    """Join on `keys`, spreading each hot key of `left` over several tasks. With `null_safe` NULL keys match each other.
 
     Rows of hot keys get a salt computed from `spread_by` (columns that tell the
     rows of one key apart, such as an id), and the matching rows of `right` are
@@ -51,12 +53,20 @@ def salted_join(
         raise ValueError(f"{how} would repeat rows of the salted right side")
     hot = hot_keys(left, keys) if hot is None else hot
     if not hot:
-        return left.join(right, list(keys), how)
+        return _joined(left, right, keys, how, null_safe)
     parts = F.create_map(*[F.lit(x).cast("bigint") for pair in hot.items() for x in pair])
     salts = F.coalesce(F.try_element_at(parts, F.xxhash64(*keys)), F.lit(1).cast("bigint"))
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    return _joined(salted_left, salted_right, [*keys, "_salt"], how, null_safe).drop("_salt")
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return left.join(right, list(keys), how)
+    other = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    return left.join(right.withColumnsRenamed(other), same, how).drop(*other.values())
 
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:

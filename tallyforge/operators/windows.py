@@ -2,16 +2,17 @@
 
 The running and moving figures expect a table that is already aggregated to one
 row per key and period: a key then has as many rows as periods, however many raw
-rows stand behind it.
+rows stand behind it. For raw rows, where a key may have very many, use `scans`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyforge.functions.tiers import above, below
+from tallyforge.operators.skew import salted_join
 
 
 def top_by_rank(df: DataFrame, group: str, value: str, tie_break: str, k: int = 3) -> DataFrame:
@@ -68,17 +69,18 @@ def change_label(change: Column) -> Column:
     return above(change, *CHANGE)
 
 
-def label_deviation(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """health_status of a row by its distance from its group's mean, in deviations of the group.
+def label_deviation(
+    df: DataFrame, keys: Sequence[str], value: str, spread_by: Sequence[str] | None = None, hot: Mapping[int, int] | None = None
+) -> DataFrame:
+    """health_status of a row by its distance from its group's mean, in deviations of the group; NULL keys are a group.
 
-    The group figures are aggregated and joined back, one row per group: Spark sends few groups to the rows. Expects a
-    table that is aggregated already, where no group holds a large share of the rows.
+    The figures of a group are aggregated and joined back, one row per group. The rows of a group that holds many of
+    them are spread over tasks by the columns in `spread_by` (all by default). Which groups are large is measured
+    first, in a job of its own; `hot` takes the result of `skew.hot_keys` where it is known.
     """
-    stats = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
-        F.avg(value).alias("_mean"), F.stddev(value).alias("_sd")
-    )
-    same_group = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev(value).alias("_sd"))
     limits, rest = DEVIATION
     far = F.abs(F.col(value) - F.col("_mean"))
     label = above(far, [(times * F.col("_sd"), name) for times, name in limits], rest)
-    return df.join(stats, same_group).withColumn("health_status", label).drop("_mean", "_sd", *[f"_k_{k}" for k in keys])
+    joined = salted_join(df, stats, keys, spread_by or df.columns, hot=hot, null_safe=True)
+    return joined.withColumn("health_status", label).drop("_mean", "_sd")
