@@ -133,3 +133,30 @@ def test_merge_counts_fills_zero(spark, rows):
     left = spark.createDataFrame([("a", 1)], "k STRING, x LONG")
     right = spark.createDataFrame([("b", 2)], "k STRING, y LONG")
     assert rows(joins.merge_counts(left, right, ["k"], ["x", "y"])) == [("a", 1, 0), ("b", 0, 2)]
+
+
+def scans(df):
+    return str(df._jdf.queryExecution().optimizedPlan()).count("Relation")
+
+
+@pytest.mark.parametrize("small, hot", [(True, None), (False, {}), (False, None), (None, None)])
+def test_merge_is_the_same_in_each_way(spark, rows, tmp_path, small, hot):
+    target = spark.createDataFrame([(i % 50 if i % 10 else None, i, "old") for i in range(400)], "k INT, n INT, v STRING")
+    target.write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.createDataFrame([(k, -k, "new") for k in range(0, 100, 3)] + [(None, 7, "new"), (None, 8, "new")], "k INT, n INT, v STRING")
+    found = changes.merge_into(target, source, ["k"], update=["v"], small=small, hot=hot)
+    given = set(range(0, 100, 3))
+    want = [(r.k, r.n, "new" if r.k in given else r.v) for r in target.collect()]
+    held = {r.k for r in target.collect()}
+    want += [(k, -k, "new") for k in given - held] + [(None, 7, "new"), (None, 8, "new")]
+    assert rows(found) == sorted(want, key=repr)
+    if hot == {}:
+        assert scans(found) == 1  # of the target
+
+
+def test_merge_at_once_refuses_a_repeated_key(spark):
+    target = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k INT, v STRING")
+    with pytest.raises(Exception, match="repeats the key"):
+        changes.merge_into(target, twice, ["k"], small=False, hot={}).collect()

@@ -1,5 +1,8 @@
 """Sources and sinks on files in a fresh folder."""
 
+import datetime
+import json
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -147,3 +150,57 @@ def test_clustering_spreads_one_value(spark, tmp_path):
     states.write_state(states.clustered(same, "zone", 4), str(tmp_path / "t"), 0, "compact")
     sizes = [r["count"] for r in states.read_state(spark, str(tmp_path / "t")).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000
+
+
+SHAPE = T.StructType([
+    T.StructField("id", T.IntegerType()), T.StructField("at", T.DateType()), T.StructField("tags", T.ArrayType(T.StringType())), T.StructField("name", T.StringType()),
+])
+
+
+def test_json_fields_are_rescued_one_by_one(spark, rows):
+    lines = [
+        '{"id": 1, "at": "2024-01-02", "tags": ["a"], "name": "x"}',
+        '{"id": "one", "at": "2024-01-02", "name": "y", "more": {"a": [1]}}',
+        '{"id": 3, "at": "someday", "tags": "none", "name": null}',
+        '{"other": 5}', "no json", "", "[1, 2]", None,
+    ]
+    found = files.json_by_field(spark.createDataFrame([(line,) for line in lines], "value STRING"), SHAPE).collect()
+    day = datetime.date(2024, 1, 2)
+    kept = [tuple(r)[:4] for r in found]
+    assert kept == [(1, day, ["a"], "x"), (None, day, None, "y"), (3, None, None, None)] + [(None,) * 4] * 5
+    rescued = [json.loads(r[4]) if r[4] else None for r in found]
+    assert rescued[:3] == [None, {"id": "one", "more": '{"a":[1]}'}, {"at": "someday", "tags": "none"}]
+    assert rescued[3] == {"other": "5"} and rescued[4] == {"_line": "no json"} and rescued[7] is None
+
+
+def test_csv_fields_are_rescued_one_by_one(spark):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    lines = ['1,"a, b"', "x,c", "2", "3,d,extra,more", "y,e,extra", "4,f,1,2,3", None]
+    found = files.csv_by_field(spark.createDataFrame([(line,) for line in lines], "value STRING"), schema, extra=2).collect()
+    assert [tuple(r)[:2] for r in found] == [(1, "a, b"), (None, "c"), (2, None), (3, "d"), (None, "e"), (4, "f"), (None, None)]
+    rescued = [json.loads(r[2]) if r[2] else None for r in found]
+    assert rescued == [None, {"id": "x"}, None, {"_extra_1": "extra", "_extra_2": "more"}, {"id": "y", "_extra_1": "extra"}, {"_line": "4,f,1,2,3"}, None]
+
+
+def test_rescue_by_field_in_a_stream(spark, tmp_path):
+    spark.createDataFrame([('{"id": "x", "name": "n"}',)], "value STRING").write.text(str(tmp_path / "in"))
+    stream = files.json_by_field(spark.readStream.text(str(tmp_path / "in")), SHAPE)
+    finish(append_to_files(stream, str(tmp_path / "out"), str(tmp_path / "c")))
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert (row.id, row.name, row._rescued) == (None, "n", '{"id":"x"}')
+
+
+def test_a_model_is_trained_once(spark, tmp_path):
+    from tallyforge.operators import models
+
+    rows = spark.createDataFrame([(w, int(w == "good")) for w in ["good", "bad"] * 20], "text STRING, label INT")
+    fits = []
+
+    def fit():
+        fits.append(1)
+        return models.fit_text_classifier(rows, "text", "label")
+
+    first, second = (models.trained_once(spark, str(tmp_path / "model"), fit) for _ in range(2))
+    assert len(fits) == 1
+    scores = [[tuple(r.scored) for r in models.score_sentiment(m, rows).collect()] for m in (first, second)]
+    assert scores[0] == scores[1] and {s[0] for s in scores[0]} == {"POSITIVE", "NEGATIVE"}
