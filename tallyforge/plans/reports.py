@@ -1,35 +1,28 @@
-"""Reports in SQL on transactions, customers, products and sensor readings."""
+"""Reports on transactions, customers, products and sensor readings."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyforge.operators.aggregates import ACCURACY
+from tallyforge.functions.tiers import above
 from tallyforge.operators.numbering import percent_rank
+from tallyforge.operators.scans import weighted_quantiles
 from tallyforge.operators.windows import label_deviation, top_by_rank
 from tallyforge.plans.customers import profiles
 from tallyforge.session import stored
 
 
-RUN = 1024
-
-
 def monthly_sales(transactions: DataFrame) -> DataFrame:
-    return transactions.sparkSession.sql(
-        """
-        SELECT date_format(transaction_date, 'yyyy-MM') AS year_month, sum(amount) AS total_sales,
-               count(*) AS transaction_count, avg(amount) AS avg_transaction_amount,
-               count(DISTINCT customer_id) AS unique_customers
-        FROM {transactions} GROUP BY 1
-        """,
-        transactions=transactions,
-    )
+    """Sales, transactions, their mean and the customers of each month."""
+    dated = transactions.withColumn("year_month", F.date_format("transaction_date", "yyyy-MM"))
+    return profiles(dated, "total_sales", "transaction_count", "avg_transaction_amount", "unique_customers", by=["year_month"])
 
 
 def lifetime_value_by_state(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers, revenue, mean, median and largest customer total per state.
 
-    Mean and median are taken over transactions: a customer counts once per transaction.
+    Mean and median are taken over transactions: a customer counts once per transaction. The median weights each
+    customer's total by their transactions.
     """
     per_customer = (
         profiles(transactions, "total_spent", "transaction_count")
@@ -44,40 +37,21 @@ def lifetime_value_by_state(transactions: DataFrame, customers: DataFrame) -> Da
         ).alias("avg_customer_ltv"),
         F.max("total_spent").alias("max_ltv"),
     )
-    # Each total as often as the customer has transactions, in runs of bounded length.
-    runs = F.explode(F.sequence(F.lit(0), ((F.col("transaction_count") - 1) / RUN).cast("int")))
-    length = F.least(F.lit(RUN), F.col("transaction_count") - F.col("run") * RUN).cast("int")
-    per_row = (
-        per_customer.select("state", "total_spent", "transaction_count", runs.alias("run"))
-        .select("state", F.explode(F.array_repeat("total_spent", length)).alias("total_spent"))
-    )
-    medians = per_row.groupBy("state").agg(
-        F.percentile_approx("total_spent", 0.5, ACCURACY).alias("median_ltv")
-    )
+    medians = weighted_quantiles(per_customer, ["state"], "total_spent", "transaction_count", median_ltv=0.5)
     same_state = F.col("s.state").eqNullSafe(F.col("m.state"))
     return by_state.alias("s").join(medians.alias("m"), same_state).select("s.*", "m.median_ltv")
 
 
+# Ratios of the product report, each of two measures, to cents.
+PERFORMANCE = {"sales_per_transaction": ("total_sales", "transaction_count"), "sales_per_customer": ("total_sales", "unique_customers")}
+
+
 def product_performance(transactions: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales per category next to the category's products."""
-    return transactions.sparkSession.sql(
-        """
-        WITH sold AS (
-          SELECT category, sum(amount) AS total_sales, count(*) AS transaction_count,
-                 avg(amount) AS avg_transaction, count(DISTINCT customer_id) AS unique_customers
-          FROM {transactions} GROUP BY category),
-        listed AS (
-          SELECT category, count(*) AS product_count, avg(price) AS avg_product_price,
-                 sum(stock_quantity) AS total_inventory
-          FROM {products} GROUP BY category)
-        SELECT sold.*, product_count, avg_product_price, total_inventory,
-               round(total_sales / transaction_count, 2) AS sales_per_transaction,
-               round(total_sales / unique_customers, 2) AS sales_per_customer
-        FROM sold LEFT JOIN listed USING (category)
-        """,
-        transactions=transactions,
-        products=products,
-    )
+    """What each category sells, next to what it lists; a category that lists nothing has NULL there."""
+    sells = profiles(transactions, "total_sales", "transaction_count", "avg_transaction", "unique_customers", by=["category"])
+    lists = profiles(products, "product_count", "avg_product_price", "total_inventory", by=["category"])
+    ratios = {name: F.round(F.try_divide(*pair), 2) for name, pair in PERFORMANCE.items()}
+    return sells.join(lists, "category", "left").withColumns(ratios)
 
 
 def ranked_customers(transactions: DataFrame, customers: DataFrame, k: int = 3) -> DataFrame:
@@ -125,21 +99,19 @@ def sensor_health(sensors: DataFrame) -> DataFrame:
     return label_deviation(daily, ["location", "status"], "avg_value")
 
 
+# The level of a location's mean reading on a day.
+READING = ((75, "High"), (25, "Medium")), "Low"
+
+
 def sensor_level_and_sales(sensors: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Mean daily sales on days when a location's active sensors read high, medium or low."""
-    return transactions.sparkSession.sql(
-        """
-        WITH readings AS (
-          SELECT to_date(timestamp) AS day, location, avg(value) AS avg_value,
-                 CASE WHEN avg(value) > 75 THEN 'High' WHEN avg(value) > 25 THEN 'Medium' ELSE 'Low' END AS level
-          FROM {sensors} WHERE status = 'active' GROUP BY 1, 2),
-        sales AS (
-          SELECT to_date(transaction_date) AS day, sum(amount) AS daily_sales, count(*) AS transaction_count
-          FROM {transactions} GROUP BY 1)
-        SELECT level AS sensor_category, count(*) AS days_count, avg(daily_sales) AS avg_daily_sales,
-               avg(transaction_count) AS avg_transactions, avg(avg_value) AS avg_sensor_reading
-        FROM readings JOIN sales USING (day) GROUP BY level
-        """,
-        sensors=sensors,
-        transactions=transactions,
-    )
+    """The sales of days by how high a location's active sensors read on them.
+
+    Both sides become one row per day, and location, before they meet, so the join moves days and not readings.
+    """
+    on = {"reading": F.to_date("timestamp"), "sale": F.to_date("transaction_date")}
+    read = profiles(sensors.where("status = 'active'").withColumn("day", on["reading"]), "avg_sensor_reading", by=["day", "location"])
+    sold = profiles(transactions.withColumn("day", on["sale"]), "daily_sales", "transaction_count", by=["day"])
+    limits, rest = READING
+    days = read.join(sold, "day").withColumnRenamed("avg_sensor_reading", "value")
+    rated = days.withColumn("sensor_category", above("value", limits, rest))
+    return profiles(rated, "days_count", "avg_daily_sales", "avg_transactions", "avg_sensor_reading", by=["sensor_category"])

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from tallyforge.functions import tiers
-from tallyforge.operators import aggregates, evaluation
+from tallyforge.operators import aggregates, evaluation, mergeable, scans
 from tallyforge.plans.customers import profiles
 from tallyforge.plans.trips import by_direction
+from tallyforge.session import stored
 from tallyforge.workload.registry import day, query, r, rounded
 
 
@@ -45,12 +46,40 @@ def distinct_count(t):
 )
 def approx_distinct(t):
     """The approximate count next to the exact one: within three relative deviations."""
-    deviation = 0.02
-    counts = t.sales.groupBy(day(F.to_date("sold_at")).alias("transaction_date")).agg(
-        F.approx_count_distinct("customer_id", deviation).alias("approximate"), F.count_distinct("customer_id").alias("active_customers")
-    )
+    daily = customers_by_day(t)
+    return against_exact(t, mergeable.finished(daily, ACTIVE), "sold_on").select(day("sold_on").alias("transaction_date"), "active_customers", "close")
+
+
+ACTIVE = {"approximate": mergeable.distinct("customer_id")}
+
+
+def sold(t):
+    on = F.to_date("sold_at")
+    return t.sales.select("customer_id", on.alias("sold_on"), F.trunc(on, "week").alias("sold_in"))
+
+
+def customers_by_day(t):
+    """A sketch of the customers of each day, stored: any period is made of these."""
+    return stored(mergeable.partials(sold(t), ["sold_on", "sold_in"], ACTIVE), "customers-by-day")
+
+
+def against_exact(t, counts, key):
+    exact = sold(t).groupBy(key).agg(F.count_distinct("customer_id").alias("active_customers"))
     off = F.abs(F.col("approximate") - F.col("active_customers"))
-    return counts.select("transaction_date", "active_customers", (off <= F.ceil(3 * deviation * F.col("active_customers"))).alias("close"))
+    bound = F.ceil(3 * mergeable.DISTINCT_ERROR * F.col("active_customers"))
+    return counts.select(key, "approximate").join(exact, key).withColumn("close", off <= bound)
+
+
+@query(
+    "ag05b_weeks_from_days",
+    """SELECT strftime(date_trunc('week', sold_at), '%Y-%m-%d') AS week_start, count(DISTINCT customer_id) AS active_customers, true AS close
+       FROM sales GROUP BY 1""",
+    "sales",
+)
+def weeks_from_days(t):
+    """The customers of a week from the stored sketches of its days; the sales are read once, by day."""
+    weekly = mergeable.finished(mergeable.merged(customers_by_day(t), ["sold_in"], ACTIVE), ACTIVE)
+    return against_exact(t, weekly, "sold_in").select(day("sold_in").alias("week_start"), "active_customers", "close")
 
 
 @query(
@@ -77,6 +106,34 @@ def percentiles(t):
     return t.transactions.groupBy("category").agg(*columns)
 
 
+POINTS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+
+
+@query(
+    "ag07b_merged_quantiles",
+    """SELECT category, quantile_disc(amount, 0.25) AS p25, quantile_disc(amount, 0.5) AS p50, quantile_disc(amount, 0.75) AS p75,
+              quantile_disc(amount, 0.95) AS p95, true AS sketches_close FROM transactions GROUP BY 1""",
+    "transactions",
+)
+def merged_quantiles(t):
+    """Exact quantiles from sums over range partitions, and whether sketches stored by month and merged are within their bound.
+
+    A sketched value is close if the share of amounts up to it, and that of amounts below it, enclose the point within the error.
+    """
+    measures = {"sketched": mergeable.quantiles("amount", list(POINTS.values()))}
+    monthly = mergeable.partials(t.transactions, ["category", F.trunc("transaction_date", "month").alias("month")], measures)
+    sketched = mergeable.finished(mergeable.merged(stored(monthly, "quantiles-by-month"), ["category"], measures), measures)
+    amounts = t.transactions.groupBy("category", "amount").agg(F.count("*").alias("n"))
+    exact = scans.weighted_quantiles(amounts, ["category"], "amount", "n", **POINTS)
+    error, close = mergeable.RANK_ERROR, F.lit(True)
+    for i, point in enumerate(POINTS.values()):
+        guess = F.col("sketched")[i]
+        up_to, below = (F.sum(F.when(c, F.col("n")).otherwise(0)) for c in (F.col("amount") <= guess, F.col("amount") < guess))
+        close = close & (up_to >= (point - error) * F.sum("n")) & (below <= (point + error) * F.sum("n"))
+    known = amounts.join(sketched, "category").groupBy("category").agg(close.alias("sketches_close"))
+    return exact.join(known, "category")
+
+
 @query(
     "ag08_collect",
     """SELECT customer_id, array_to_string(list_sort(list(DISTINCT category)), ',') AS categories
@@ -88,6 +145,22 @@ def collect(t):
     return sets.withColumn("categories", F.array_join("categories", ","))
 
 
+@query(
+    "ag08b_pages",
+    """SELECT category, page, count(*) AS length, min(customer_id) AS first_customer, max(customer_id) AS last_customer FROM (
+         SELECT category, customer_id, CAST((row_number() OVER (PARTITION BY category ORDER BY customer_id) - 1) // 25 AS INTEGER) AS page
+         FROM (SELECT DISTINCT category, customer_id FROM transactions)) GROUP BY 1, 2""",
+    "transactions",
+)
+def pages(t):
+    """All customers of a category, in arrays of bounded length."""
+    found = aggregates.collect_pages(t.transactions, ["category"], "customer_id", "customers", page_size=25)
+    return found.select(
+        "category", "page", F.size("customers").cast("long").alias("length"),
+        F.element_at("customers", 1).alias("first_customer"), F.element_at("customers", -1).alias("last_customer"),
+    )
+
+
 @query(
     "ag09_filtered",
     """SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS clicks,

@@ -138,3 +138,17 @@ def compact(t):
     states.write_state(t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice").repartition(16), path, 0, "create")
     states.write_state(states.clustered(states.read_state(t.spark, path), "l_suppkey", 4), path, 1, "compact")
     return states.read_state(t.spark, path)
+
+
+@query(
+    "mu09b_compact_by_two_columns",
+    "SELECT l_suppkey, strftime(l_shipdate, '%Y-%m') AS month, count(*) AS row_count, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1, 2",
+)
+def compact_by_two_columns(t):
+    """Laid out so that filters on either column skip files; no row is lost or changed."""
+    path = shared_dir(t.spark, "lines")
+    lines = t.lineitem.select("l_suppkey", "l_shipdate", "l_extendedprice")
+    states.write_state(states.clustered_by_all(lines, ["l_suppkey", "l_shipdate"], 16), path, 0, "compact")
+    month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
+    table = states.read_state(t.spark, path).groupBy("l_suppkey", month).agg(F.count("*").alias("row_count"), F.sum("l_extendedprice").alias("total"))
+    return rounded(table, total=2)

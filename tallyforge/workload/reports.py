@@ -117,7 +117,13 @@ def sensors_and_sales(t):
     "customers transactions social",
 )
 def customer_360(t):
-    profile = cust.customer_360(t.customers, t.transactions, t.social)
+    followers = F.col("follower_count")
+    # What the report shows of an account.
+    presence = {
+        "platform": F.lit("Social Platform"), "followers_count": followers, "posts_count": F.lit(0),
+        "engagement_rate": F.when(followers > 0, F.col("following_count") / followers * 100).otherwise(0.0),
+    }
+    profile = cust.customer_360(t.customers, t.transactions, t.social, presence)
     return profile.select(
         "customer_id", "state", r("total_spent").alias("total_spent"), "transaction_count", "categories_purchased",
         "customer_segment", "days_as_customer", "has_social_presence",

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F, types as T
 
-from tallyforge.operators import layout
+from tallyforge.operators import layout, mergeable
 from tallyforge.plans.trips import RAW_COLUMNS
 from tallyforge.session import shared_dir
 from tallyforge.sources import files, ingest, sinks, states
+from tallyforge.streaming import views
 from tallyforge.streaming.runners import append_to_files, finish
 from tallyforge.workload.registry import query, r, rounded, stamp
 
@@ -145,6 +146,35 @@ def rescue(t):
     return rows.agg(F.count("key").alias("rows_read"), F.count(files.RESCUED).alias("rescued"))
 
 
+MISFITS = """
+    SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 3 = 0 THEN 'no ' || n_nationkey ELSE CAST(n_nationkey AS VARCHAR) END AS key,
+           CASE WHEN n_nationkey % 2 = 0 THEN 'of ' || n_regionkey END AS extra FROM nation
+"""
+
+
+@query(
+    "src14b_rescue_fields",
+    f"""SELECT kind, TRY_CAST(key AS INTEGER) AS key, n_name AS name,
+               CASE WHEN n_nationkey % 6 = 0 THEN '{{"key":"' || key || '","' || field || '":"' || extra || '"}}'
+                    WHEN n_nationkey % 3 = 0 THEN '{{"key":"' || key || '"}}'
+                    WHEN n_nationkey % 2 = 0 THEN '{{"' || field || '":"' || extra || '"}}' END AS _rescued
+        FROM ({MISFITS}) CROSS JOIN (VALUES ('json', 'region'), ('csv', '_extra_1')) v(kind, field)""",
+)
+def rescue_fields(t):
+    """JSON and CSV lines with a key of the wrong type, a field too many, or both: the row stays, only these fields are rescued."""
+    path = shared_dir(t.spark, "fields")
+    number = F.col("n_nationkey")
+    key = F.when(number % 3 == 0, F.concat(F.lit("no "), number)).otherwise(number.cast("string"))
+    extra = F.when(number % 2 == 0, F.concat(F.lit("of "), F.col("n_regionkey")))
+    given = t.nation.select(key.alias("key"), F.col("n_name").alias("name"), extra.alias("region"))
+    given.write.json(f"{path}/json")  # leaves out what is NULL
+    given.select(F.concat_ws(",", "key", "name", "region").alias("value")).write.text(f"{path}/csv")
+    schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("name", T.StringType())])
+    parts = {kind: read(files.read_lines(t.spark, f"{path}/{kind}"), schema) for kind, read in (("json", files.json_by_field), ("csv", files.csv_by_field))}
+    both = [part.withColumn("kind", F.lit(kind)) for kind, part in parts.items()]
+    return both[0].unionByName(both[1])
+
+
 @query("src15_lineage", "SELECT 'events.parquet' AS file, count(*) AS row_count FROM events")
 def lineage(t):
     traced = files.with_lineage(t.events).filter(F.col("_ingested_at").isNotNull())
@@ -214,8 +244,15 @@ def text_rows(t):
 
 @query("snk09_view", "SELECT o_orderstatus, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
 def materialized_view(t):
-    summary = t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("orders"), r(F.sum("o_totalprice")).alias("total"))
-    return t.spark.read.parquet(written(t, summary, "parquet"))
+    """A view that is refreshed from the files that are new: first from three quarters of the orders, then from the rest."""
+    base = shared_dir(t.spark, "view")
+    measures = {"orders": mergeable.row_count(), "total": mergeable.total("o_totalprice")}
+    late = F.pmod(F.xxhash64("o_orderkey"), F.lit(4)) == 0
+    for part in (~late, late):
+        t.orders.where(part).write.mode("append").parquet(f"{base}/in")
+        stream = ingest.stream_parquet(t.spark, f"{base}/in", t.orders.schema)
+        finish(views.refresh_view(stream, f"{base}/view", f"{base}/checkpoint", ["o_orderstatus"], measures))
+    return views.read_view(t.spark, f"{base}/view", measures).withColumn("total", r("total"))
 
 
 @query("snk10_temp_view", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1")

@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from tallyforge.functions.times import day_number
-from tallyforge.operators import numbering, windows
+from tallyforge.operators import numbering, scans, windows
 from tallyforge.plans import customers as customer_plans, reports
 from tallyforge.workload.registry import day, query, r, rounded, stamp
 
@@ -83,6 +83,35 @@ def previous_and_growth(t):
     )
 
 
+# Half of all rows have one key.
+LOPSIDED = "SELECT event_id, ts, value, CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS key FROM events"
+
+
+@query(
+    "wn03b_raw_rows_of_a_hot_key",
+    f"""SELECT event_id, key, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 2) AS running_total,
+               coalesce(round(lag(value) OVER w, 2), -1) AS previous_value, coalesce(round(lead(value) OVER w, 2), -1) AS next_value,
+               round(avg(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving_avg,
+               row_number() OVER w - 1 AS position
+        FROM ({LOPSIDED}) WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)""",
+)
+def raw_rows_of_a_hot_key(t):
+    """Running and moving figures over raw rows, half of which have one key: that key is scanned in slices and chunks."""
+    key = F.when(F.col("event_id") % 2 == 0, -1).otherwise(F.col("user_id")).alias("key")
+    rows, order = t.events.select("event_id", "ts", "value", key), [F.col("ts"), F.col("event_id")]
+    total = scans.running(rows, ["key"], order, running_total=F.col("value"), position=F.lit(1)).withColumn("position", F.col("position") - 1)
+    seen = scans.framed(
+        total, ["key"], order, back=2, ahead=1, position="position",
+        previous_value=lambda w: F.lag("value").over(w), next_value=lambda w: F.lead("value").over(w),
+        moving_avg=lambda w: F.avg("value").over(w.rowsBetween(-2, 0)),
+    )
+    return seen.select(
+        "event_id", "key", r("running_total").alias("running_total"), "position",
+        F.coalesce(r("previous_value"), F.lit(-1.0)).alias("previous_value"), F.coalesce(r("next_value"), F.lit(-1.0)).alias("next_value"),
+        r("moving_avg", 4).alias("moving_avg"),
+    )
+
+
 SALES_BY_MONTH = """
     SELECT category, strftime(transaction_date, '%Y-%m') AS year_month, sum(amount) AS monthly_sales
     FROM transactions GROUP BY 1, 2
@@ -150,6 +179,19 @@ def rank_and_label(t):
     return moved.select("category", "year_month", place.alias("sales_rank"), label.alias("trend_indicator"))
 
 
+@query(
+    "wn08b_deviation_in_a_hot_group",
+    f"""SELECT event_id, CASE WHEN abs(value - avg(value) OVER g) > 2 * stddev_samp(value) OVER g THEN 'ANOMALY'
+                             WHEN abs(value - avg(value) OVER g) > stddev_samp(value) OVER g THEN 'WARNING' ELSE 'NORMAL' END AS health_status
+        FROM ({LOPSIDED}) WINDOW g AS (PARTITION BY nullif(key, 3))""",
+)
+def deviation_in_a_hot_group(t):
+    """Raw rows against their group, where one group has half of them and one has no name."""
+    key = F.when(F.col("event_id") % 2 == 0, -1).otherwise(F.col("user_id"))
+    rows = t.events.select("event_id", "value", F.nullif(key, F.lit(3)).alias("key"))
+    return windows.label_deviation(rows, ["key"], "value", spread_by=["event_id"]).select("event_id", "health_status")
+
+
 @query(
     "wn08_deviation",
     """SELECT strftime(reading_date, '%Y-%m-%d') AS reading_date, location, status,
