@@ -39,21 +39,27 @@ class Limits:
 
 
 @lru_cache(maxsize=2)
-def _encoder(folder: str, name: str):
-    """Text to ids. Both libraries give the same ids; the first is faster, the second stands in where it gives up on a text."""
+def _encoder(folder: str | None, name: str):
+    """Text to ids, by the files of `folder`, or where their package has them on this machine.
+
+    Both libraries give the same ids for ordinary text. The first is faster; the second takes the texts that it gives up on,
+    and those that spell a special token, which is one id.
+    """
+    folder = folder or tokenizer_folder()
     with open(f"{folder}/{name}.tiktoken", "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     sure = tokenizers.Tokenizer.from_file(f"{folder}/{name}.json")
-    sure.encode_special_tokens = True  # their names in a text are ordinary text
+    special = [token.content for token in sure.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> list[int]:
-        try:
-            return fast.encode_ordinary(text)
-        except BaseException as error:  # the library's panics aren't Exceptions
-            if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
-                raise
-            return sure.encode(text, add_special_tokens=False).ids
+        if not any(token in text for token in special):
+            try:
+                return fast.encode_ordinary(text)
+            except BaseException as error:  # the library's panics aren't Exceptions
+                if isinstance(error, (KeyboardInterrupt, SystemExit, MemoryError)):
+                    raise
+        return sure.encode(text, add_special_tokens=False).ids
 
     return encode
 
@@ -149,12 +155,12 @@ def pack(examples: DataFrame, key: str, parts: str, limits: Limits = Limits(), n
     such as the answers in instruction data. The tokens of an example end with the id 0, which bears loss if its
     last part does. Null texts are empty, a null or empty array is one empty text without loss. Each token lies in exactly one piece.
     Limits must be positive. Null keys and repeated rows are examples like any other; an empty table gives no pieces; other columns are ignored.
-    Very long texts are encoded whole. Sequence ids hold the task in their upper bits: give rows that have
+    Very long texts are encoded whole; a special token that a text spells is one id. `folder` holds the tokenizer's files on each
+    machine. Sequence ids hold the task in their upper bits: give rows that have
     been read from files, so that a repeated task packs the same rows.
     """
     if min(limits.tokens, limits.segments, limits.loss) < 1:
         raise ValueError("limits must be positive")
-    folder = folder or tokenizer_folder()
     kind = examples.schema[key].dataType.simpleString()
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset"]
 

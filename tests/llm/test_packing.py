@@ -56,9 +56,11 @@ def test_odd_texts(make):
     assert sum(r.length for r in rows) == 2 * len(ids_of("one two")) + len(ids_of("x"))
 
 
-def test_special_names_are_ordinary_text(spark):
-    (row,) = packing.pack_documents(spark.createDataFrame([(1, "<|endoftext|>")], "doc_id long, text string")).collect()[:1]
-    assert row.doc_tokens > 2
+def test_special_tokens_in_a_text_are_one_id(make):
+    texts = {1: "<|endoftext|>", 2: "a <|endoftext|> b", 3: "<|endoftext|><|endoftext|>", 4: "<|endoftext", 5: "x" * 3_000 + "<|endoftext|>"}
+    rows = packing.pack_documents(make(list(texts.items()), "doc_id long, text string")).collect()
+    check(rows, texts)
+    assert {r.doc_id: r.doc_tokens for r in rows if r.doc_id < 4} == {1: 2, 2: 5, 3: 3}
 
 
 def test_instruction_data_keeps_all_limits(make):
