@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +40,8 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 THRESHOLD = 10.0
 LONGEST_WORD = 24
 SHORTEST_WORD = 3
+#: Letters of a value whose parts are held at once.
+_STRETCH = 2_000
 #: Guesses for a character that nothing explains, as a power of 10, by its class.
 _CLASSES = ((str.isdigit, 1.0), (str.islower, math.log10(26)), (str.isupper, math.log10(26)), (lambda c: True, math.log10(33)))
 _BETWEEN = math.log10(2)  # where one segment ends and the next begins
@@ -109,13 +112,12 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
     return best[n]
 
 
-def parts_of(value: str) -> set[str]:
-    """The letter sequences in a value that may be words."""
-    found = set()
+def parts_of(value: str) -> Iterator[set[str]]:
+    """The letter sequences in a value that may be words, the distinct ones of a stretch at a time."""
     for run in re.findall(r"[^\W\d_]+", value.lower()):
-        for i in range(len(run)):
-            found.update(run[i:end] for end in range(i + SHORTEST_WORD, min(len(run), i + LONGEST_WORD) + 1))
-    return found
+        for first in range(0, len(run), _STRETCH):
+            starts = range(first, min(len(run), first + _STRETCH))
+            yield {run[i:end] for i in starts for end in range(i + SHORTEST_WORD, min(len(run), i + LONGEST_WORD) + 1)}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -153,25 +155,43 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     return bounded_batches(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, spans array<{_SPAN}>, found array<{_VALUE}>")
 
 
-def word_costs(docs: DataFrame, text: str, values: DataFrame) -> DataFrame:
-    """`word` and `cost`, for each part of a value (column `value`) that is a word of the corpus: log10 of all words over its count.
+def _parts(values: DataFrame, bits=None) -> DataFrame:
+    """`id` and `word`, the parts of each value of `values` (`id`, `value`), a stretch of a value at a time; with the bits of a filter only those that may be in it."""
 
-    All whole texts are counted, without the values themselves. A filter of fixed size, made from the parts,
-    keeps other words from being shuffled; the join afterwards is exact.
-    """
+    def run(batches):
+        for batch in batches:
+            for number, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for some in parts_of(value.as_py()):
+                    words = pa.array(sorted(some), pa.large_string())
+                    if bits is not None and len(words):
+                        hashes = np.concatenate([word_hashes(split(d, o, np.ones(256, bool))) for _, _, d, o in pieces(words)])
+                        words = words.filter(pa.array(membership(bits.value, hashes)))
+                    if len(words):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), number)), words.cast(pa.string())], ["id", "word"])
+
+    return values.select("id", "value").mapInArrow(run, "id long, word string")
 
-    @F.pandas_udf("array<string>")
-    def parts(column: pd.Series) -> pd.Series:
-        return column.map(lambda v: sorted(parts_of(v)))
 
-    wanted = stored(values.select(F.explode(parts("value")).alias("word")).distinct(), "value-parts")
+def _filter_of(words: DataFrame):
+    """A broadcast filter, of fixed size, of the column `word`."""
 
     def hashed(batches):
         for batch in batches:
             hashes = [word_hashes(split(d, o, np.ones(256, bool))) for _, _, d, o in pieces(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64) if hashes else [], pa.int64())], ["h"])
 
-    bits = wanted.sparkSession.sparkContext.broadcast(filters.build(wanted.mapInArrow(hashed, "h long"), "h"))
+    return words.sparkSession.sparkContext.broadcast(filters.build(words.select("word").mapInArrow(hashed, "h long"), "h"))
+
+
+def word_costs(docs: DataFrame, text: str, values: DataFrame) -> DataFrame:
+    """`word` and `cost`, for each part of a value (columns `id`, `value`) that is a word of the corpus: log10 of all words over its count.
+
+    All whole texts are counted, without the values themselves. A filter of fixed size, made from the parts,
+    keeps other words from being shuffled; the join afterwards is exact. Words have 3 to 24 letters: a part of a value
+    that is longer is no word, and is made of shorter ones or guessed by brute force.
+    """
+    wanted = stored(_parts(values).select("word").distinct(), "value-parts")
+    bits = _filter_of(wanted)
 
     def count(batches):
         """Words that may be wanted, once for each piece of text; and the number of all words, under the empty word."""
@@ -193,25 +213,25 @@ def word_costs(docs: DataFrame, text: str, values: DataFrame) -> DataFrame:
 
 
 def _costly(docs: DataFrame, text: str, found: DataFrame, threshold: float) -> DataFrame:
-    """The distinct values (column `value`) that cost at least 10 ** threshold guesses, with `guesses`, that power."""
-    values = stored(found.select("value").distinct(), "values")
-    words = word_costs(docs, text, values)
+    """The distinct values (column `value`) that cost at least 10 ** threshold guesses, with `guesses`, that power.
 
-    @F.pandas_udf("array<string>")
-    def parts(column: pd.Series) -> pd.Series:
-        return column.map(lambda v: sorted(parts_of(v)))
+    The parts of a value meet the words by its number, so that a long value is not copied for each of its parts; a
+    filter of the words that were found leaves few parts to shuffle.
+    """
+    values = stored(found.select("value").distinct().withColumn("id", F.monotonically_increasing_id()), "values")
+    words = stored(word_costs(docs, text, values), "value-words")
 
     @F.pandas_udf("double")
     def cost(value: pd.Series, names: pd.Series, costs: pd.Series) -> pd.Series:
         return pd.Series([guess_cost(v, dict(zip(n, c))) for v, n, c in zip(value, names, costs)], dtype="float64")
 
     known = (
-        values.withColumn("word", F.explode(parts("value"))).join(words, "word")
-        .groupBy("value").agg(F.collect_list(F.struct("word", "cost")).alias("words"))
+        _parts(values, _filter_of(words)).distinct().join(words, "word")
+        .groupBy("id").agg(F.collect_list(F.struct("word", "cost")).alias("words"))
     )
     empty = F.array().cast("array<struct<word:string,cost:double>>")
     return (
-        values.join(known, "value", "left").withColumn("words", F.coalesce("words", empty))
+        values.join(known, "id", "left").withColumn("words", F.coalesce("words", empty))
         .select("value", cost("value", F.col("words.word"), F.col("words.cost")).alias("guesses"))
         .where(F.col("guesses") >= threshold)
     )
@@ -222,7 +242,8 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
 
     Kinds 0 to 2 are the fixed patterns, with null guesses; 3 is a value in a credential context that costs at
     least 10 ** `threshold` guesses. Offsets count code points, ends are exclusive. Null and empty texts have no
-    spans. Repeated rows and rows with a null key each get a row of their own. Other columns are ignored. Words are
+    spans. Repeated rows and rows with a null key each get a row of their own. Other columns are ignored. An empty table
+    gives no rows. Values of any length are scanned whole; of segmentations that cost the same any counts. Words are
     counted in the column `text` of `corpus`, for `docs` that are a part of it; without one in `docs`.
     """
     rows = stored(_scan(docs, key, text).withColumn("row", F.monotonically_increasing_id()), "secret-scan")

@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -74,3 +76,68 @@ def test_costs_are_minimal_over_all_segmentations():
         return min(options)
 
     assert secrets.guess_cost(value, words) == pytest.approx(search(0, False))
+
+
+def test_a_very_long_value_of_letters(make):
+    """Its parts are looked up a stretch at a time, and it is no copy for each of them."""
+    rng = random.Random(3)
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60_000))
+    rows = [(1, f"password is {noise}"), (2, "password is " + "東京" * 3_000), (3, "the word common " * 50), (4, "pwd: " + "wordcommon" * 4)]
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(make(rows, "doc_id long, text string")).collect()}
+    assert [s.kind for s in found[1]] == [3] and found[1][0].guesses > 10_000
+    assert found[3] == [] and found[4] == []
+
+
+def test_parts_are_whole_over_stretches():
+    value = "".join(random.Random(4).choices("abc", k=secrets._STRETCH + 500)) + "-xyz"
+    found = set().union(*secrets.parts_of(value))
+    run = value[:-4]
+    assert found == {run[i:j] for i in range(len(run)) for j in range(i + 3, min(len(run), i + 24) + 1)} | {"xyz"}
+
+
+def cheapest(value, words):
+    """Over all segmentations into words, dates, whole repeats, sequences and walks, and brute-force spans; without dynamic programming over places."""
+    rows = secrets.KEY_ROWS
+    at = {key: (r, i) for r, row in enumerate(rows) for i, key in enumerate(row)}
+
+    def touch(a, b):
+        if a not in at or b not in at:
+            return False
+        (r, i), (q, j) = at[a], at[b]
+        return (r == q and abs(i - j) == 1) or (q - r == 1 and j in (i - 1, i)) or (r - q == 1 and j in (i, i + 1))
+
+    def reach(i, goes_on):
+        j = i + 1
+        while j < len(value) and goes_on(value[j - 1], value[j]):
+            j += 1
+        return j
+
+    def segments(i):
+        for goes_on, least, first, turn in (
+            (lambda a, b: a == b, 3, secrets._single(value[i]), 0), (touch, 4, math.log10(47), 0.3), (lambda a, b: ord(b) - ord(a) == 1, 3, secrets._single(value[i]), 0),
+        ):
+            j = reach(i, goes_on)
+            if j - i >= least:
+                yield j, first + math.log10(j - i) + turn * (j - i - 1)
+        m = secrets._DATE.match(value, i)
+        if m:
+            yield m.end(), math.log10(365 * 200) if len(m[0]) > 4 else math.log10(200)
+        for word, cost in words.items():
+            if value.startswith(word, i):
+                yield i + len(word), cost
+
+    def search(i, dull):
+        if i == len(value):
+            return 0.0
+        between = math.log10(2) if i else 0.0
+        options = [(0 if dull else between) + secrets._single(value[i]) + search(i + 1, True)]
+        options += [between + cost + search(j, False) for j, cost in segments(i)]
+        return min(options)
+
+    return search(0, False)
+
+
+@pytest.mark.parametrize("value", ["aaab1999", "qwert2024a", "abcdqwe", "20240131aa", "wordqazx", "xx111word", "asdfdsa", "a", "1234567", "poiuyword", "2023-05-06z"])
+def test_costs_with_dates_walks_and_repeats(value):
+    words = {"word": 1.5, "zword": 0.7, "qwe": 1.1}
+    assert secrets.guess_cost(value, words) == pytest.approx(cheapest(value, words))
