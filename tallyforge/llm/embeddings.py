@@ -1,7 +1,8 @@
 """Near-duplicate vectors by sorted projection passes.
 
-In each pass, vectors are put in the order of 64 concatenated random hashes (the sides of random hyperplanes) and
-every vector is compared, exactly, with its neighbours in a window of bounded size. The links of all passes are
+In each pass, vectors are put in the order of 64 concatenated random hashes (the sides of random hyperplanes through
+the mean of the unit vectors) and every vector is compared, exactly, with its neighbours in a window of bounded
+size. How many passes it takes is measured: by how many leading hashes a vector shares with the one a window away. The links of all passes are
 united. A pair is counted in the first pass that has it in a window, which the ranks tell, so pairs are never
 gathered. Equal vectors are one class before anything is compared.
 
@@ -28,15 +29,29 @@ THRESHOLD, WINDOW, SEED = 0.95, 256, 8
 #: The share of links, of pairs just at the threshold, that all passes together may miss in expectation.
 MISSED = 0.02
 LEAST_PASSES = 8
+#: With so many passes a pair may be missed more often, where nearly all vectors are near-duplicates of each other; such
+#: vectors hang together all the same, and then their links are counted exactly.
+MOST_PASSES = 96
+#: Lengths of vectors of which the mean is taken, those of most vectors first; vectors of others aren't centred.
+_CENTRED = 1_000
 BLOCK_ROWS = 4096
 _BITS = 64
 
 
-def passes_for(rows: int, threshold: float, window: int) -> int:
-    """How many passes find nearly all pairs: the order splits a pair once a hyperplane separates it before a window's worth of rows is left."""
-    same_side = 1 - math.acos(threshold) / math.pi
-    chance = same_side ** max(0.0, math.log2(max(1, rows) / window))
-    return max(LEAST_PASSES, math.ceil(math.log(MISSED) / math.log(1 - chance))) if chance < 1 else LEAST_PASSES
+def passes_for(chance: float) -> int:
+    """How many passes find nearly all pairs, if a pass finds one at the threshold with this chance."""
+    if chance >= 1 - MISSED:
+        return LEAST_PASSES
+    return min(MOST_PASSES, max(LEAST_PASSES, math.ceil(math.log(MISSED) / math.log1p(-chance)))) if chance > 0 else MOST_PASSES
+
+
+def same_side(threshold: float, common: float) -> float:
+    """The chance that a hyperplane through the mean leaves a pair at the threshold together; `common` is the mean's squared length.
+
+    Without what all vectors have in common, the cosine of the rest is smaller.
+    """
+    rest = (threshold - common) / (1 - common) if common < threshold else 0.0
+    return 1 - math.acos(max(0.0, min(1.0, rest))) / math.pi
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -50,8 +65,52 @@ def _planes(which: int, dimensions: int) -> np.ndarray:
     return np.random.default_rng([SEED, which, dimensions]).standard_normal((dimensions, _BITS))
 
 
-def _sort_keys(classes: DataFrame, passes: int) -> DataFrame:
+def means_of(classes: DataFrame) -> dict[int, np.ndarray]:
+    """The mean of the unit vectors of each length. A vector for each length reaches the driver, of the `_CENTRED` most frequent lengths."""
+
+    def run(batches):
+        for batch in batches:
+            dims = batch.column(0).to_numpy()
+            for dim in np.unique(dims):
+                unit = _matrix(batch.column(1).take(pa.array(np.flatnonzero(dims == dim))))
+                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([unit.sum(axis=0)], pa.list_(pa.float64())), pa.array([len(unit)])], ["dim", "total", "n"])
+
+    sums = stored(classes.select("dim", "vec").mapInArrow(run, "dim int, total array<double>, n long"), "vector-sums")
+    most = sums.groupBy("dim").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "dim").limit(_CENTRED)
+    each = sums.join(F.broadcast(most.select("dim")), "dim").select("dim", F.posexplode("total").alias("place", "x"))
+    added = each.groupBy("dim", "place").agg(F.sum("x").alias("x")).groupBy("dim").agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("m"))
+    counts = {r.dim: r.n for r in most.collect()}
+    return {r.dim: np.array([m.x for m in r.m]) / counts[r.dim] for r in added.collect()}
+
+
+def _chance(classes: DataFrame, means: dict[int, np.ndarray], threshold: float, window: int) -> float:
+    """The chance that one pass has a pair at the threshold in a window, over all vectors, from the order of the first pass.
+
+    A vector and its pair stay together if they share the hashes in which a window around it agrees, and one more.
+    """
+    first = _sort_keys(classes, 1, means).select("cid", "dim", F.col("keys")[0].alias("k"))
+    ranked = stored(number_rows(first, F.col("dim"), F.col("k"), F.col("cid"), name="rank"), "first-pass")
+    ahead = ranked.select((F.col("rank") - window).alias("rank"), F.col("dim").alias("other_dim"), F.col("k").alias("other"))
+    differ = F.length(F.bin(F.col("k").bitwiseXOR(F.col("other"))))
+    depth = F.when(F.col("k") == F.col("other"), _BITS).otherwise(_BITS - differ)
+    # Near the end of a length's vectors everything is within the window.
+    deep = F.when(F.col("dim") == F.col("other_dim"), F.least(F.lit(_BITS), depth + 1)).otherwise(0)
+    known = F.when(F.col("dim").isin(*means), F.col("dim")).otherwise(-1) if means else F.lit(-1)
+    counts = ranked.join(ahead, "rank", "left").groupBy(known.alias("dim"), F.coalesce(deep, F.lit(0)).alias("deep")).count()
+    total = found = 0.0
+    # At most 65 rows for each length of vectors that has a mean.
+    by_dim: dict[int, float] = {}
+    for dim, deep_, n in counts.collect():
+        if dim not in by_dim:
+            by_dim[dim] = same_side(threshold, float(means[dim] @ means[dim]) if dim in means else 0.0)
+        total += n
+        found += n * by_dim[dim] ** deep_
+    return found / total if total else 1.0
+
+
+def _sort_keys(classes: DataFrame, passes: int, means: dict[int, np.ndarray]) -> DataFrame:
     """`cid`, `dim` and `keys`, for each pass the hashes put together as one number."""
+    centres = classes.sparkSession.sparkContext.broadcast(means)
 
     def run(batches):
         for batch in batches:
@@ -59,7 +118,7 @@ def _sort_keys(classes: DataFrame, passes: int) -> DataFrame:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                unit = _matrix(batch.column(2).take(pa.array(rows)))
+                unit = _matrix(batch.column(2).take(pa.array(rows))) - centres.value.get(int(dim), 0.0)
                 for p in range(passes):
                     bits = np.packbits(unit @ _planes(p, int(dim)) > 0, axis=1)
                     keys[rows, p] = bits.view(">u8").reshape(-1).astype(np.uint64).view(np.int64)
@@ -69,9 +128,9 @@ def _sort_keys(classes: DataFrame, passes: int) -> DataFrame:
     return classes.select("cid", "dim", "vec").mapInArrow(run, "cid long, dim int, keys array<long>")
 
 
-def _placed(classes: DataFrame, passes: int) -> DataFrame:
+def _placed(classes: DataFrame, passes: int, means: dict[int, np.ndarray]) -> DataFrame:
     """The classes with `ranks`, their places in the order of each pass."""
-    keys = stored(_sort_keys(classes, passes), "projection-keys")
+    keys = stored(_sort_keys(classes, passes, means), "projection-keys")
     ranks = None
     for p in range(passes):
         one = number_rows(keys.select("cid", "dim", F.col("keys")[p].alias("k")), F.col("dim"), F.col("k"), F.col("cid"), name="rank")
@@ -215,7 +274,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     Rows are linked if the passes find them and their cosine, in double precision, is at least `threshold`. Vectors that are
     null, empty, zero or hold a null or non-finite component link with nothing, nor do vectors of different lengths.
     Equal rows are linked to each other. A null key is never the smallest; a component of nulls alone has a null id and
-    is kept. Other columns are ignored. Every row is indexed.
+    is kept. Other columns are ignored. Every row is indexed. An empty table gives no rows.
     """
     double = F.col("vec").cast("array<double>")
     fine = F.forall(double, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(double, lambda x: x != 0)
@@ -226,8 +285,9 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         .withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("vec"), "core": F.lit(None).cast("long")}),
         "vector-classes",
     )
-    passes = passes_for(classes.count(), threshold, window)
-    placed = _placed(classes.select("cid", "dim", "vec", "copies", "core"), passes)
+    means = means_of(classes)
+    passes = passes_for(_chance(classes, means, threshold, window))
+    placed = _placed(classes.select("cid", "dim", "vec", "copies", "core"), passes, means)
     found = stored(_compared(placed, passes, threshold, window), "vector-links")
     groups = components(found.select("cid", "root"))
     groups = stored(groups.select(F.col("node").alias("cid"), F.col("root").alias("group")), "vector-groups")

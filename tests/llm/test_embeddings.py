@@ -85,6 +85,7 @@ def test_odd_vectors(make):
     assert embeddings.near_vectors(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("rows", [0, 1, 10**3, 10**6, 10**9])
-def test_passes_grow_with_the_table(rows):
-    assert embeddings.LEAST_PASSES <= embeddings.passes_for(rows, 0.95, 256) < 64
+@pytest.mark.parametrize("chance", [1.0, 0.9, 0.5, 0.2, 0.05])
+def test_passes_grow_as_a_pass_finds_less(chance):
+    passes = embeddings.passes_for(chance)
+    assert embeddings.LEAST_PASSES <= passes <= embeddings.MOST_PASSES and (1 - chance) ** passes <= embeddings.MISSED + 1e-9
