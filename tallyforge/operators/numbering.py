@@ -61,6 +61,27 @@ def ordered_batches(df: DataFrame, batches: int, *order: Column, name: str = "ba
     return numbered.select(*df.columns, batch.cast("int").alias(name))
 
 
+def ordered_parts(df: DataFrame, parts: int, *order: Column) -> list[DataFrame]:
+    """The runs of `ordered_batches` as tables of their own, each of which reads only the slices that it lies in."""
+    laid = sorted_slices(df, list(order))
+    sizes = laid.groupBy("_slice").agg(F.count("*").alias("n")).orderBy("_slice").collect()  # one number per slice
+    ends = list(accumulate(row["n"] for row in sizes))
+    total = ends[-1] if ends else 0
+    length, out = max(1, total // parts), []
+    for part in range(parts):
+        first, last = part * length, total if part == parts - 1 else min(total, (part + 1) * length)
+        mine = [(row["_slice"], end - row["n"]) for row, end in zip(sizes, ends) if end > first and end - row["n"] < last]
+        if not mine:
+            out.append(laid.limit(0).select(*df.columns))
+            continue
+        # All slices between the first and the last lie in the part as a whole.
+        (low, before), (high, before_high) = mine[0], mine[-1]
+        here = F.col("_slice").between(low, high)
+        here = here & ((F.col("_slice") != low) | (F.col("_pos") >= first - before)) & ((F.col("_slice") != high) | (F.col("_pos") < last - before_high))
+        out.append(laid.where(here).select(*df.columns))
+    return out
+
+
 def percent_rank(df: DataFrame, value: str, descending: bool = True, name: str = "percent_rank") -> DataFrame:
     """PERCENT_RANK over the whole table: (rank - 1) / (rows - 1), ties share a rank.
 

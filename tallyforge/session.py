@@ -33,6 +33,7 @@ def build_session(app: str = "tallyforge", cores: int | None = None, **conf: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "tallyforge"))  # one machine: its folder is shared
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in conf.items():
@@ -58,7 +59,8 @@ def _shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):  # the driver runs all tasks
         return os.path.join(tempfile.gettempdir(), "tallyforge")
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyforge.operators.numbering import ordered_batches
+from tallyforge.operators.numbering import ordered_parts
 from tallyforge.sources.ingest import stream_parquet
 
 
@@ -13,18 +13,14 @@ def write_ordered_batches(
 ) -> int:
     """Cut the table into batches by time and write them as folders batch=0, batch=1, ... in that order.
 
-    Every folder gets the same number of files of equal size. Returns that number:
-    with as many files per trigger, `replay` reads one folder after the other.
+    Every folder gets the same number of files of equal size. Returns that number: with as many files per
+    trigger, `replay` reads one folder after the other. The table is sorted and written once; each folder is then
+    copied from the slices of it that hold its rows.
     """
-    files = max(1, df.count() // batches // rows_per_file)
-    cut = ordered_batches(df, batches, F.col(time), F.col(unique))
-    # Numbered and written once, by batch; then each folder is copied from its own rows alone.
-    laid = f"{path}-by-batch"
-    cut.write.mode("overwrite").partitionBy("batch_id").parquet(laid)
-    spark = df.sparkSession
-    for batch in range(batches):
-        part = spark.read.schema(df.schema).parquet(f"{laid}/batch_id={batch}").repartition(files)
-        part.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    parts = ordered_parts(df, batches, F.col(time), F.col(unique))
+    files = max(1, parts[0].count() // rows_per_file)
+    for batch, part in enumerate(parts):
+        part.repartition(files).write.mode("overwrite").parquet(f"{path}/batch={batch}")
     return files
 
 
