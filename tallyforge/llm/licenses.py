@@ -1,7 +1,7 @@
 """License scans: an exact set-similarity join of license templates with blocks of text.
 
-A block is 64 consecutive words of a text; blocks overlap by half, so any stretch of up to 32 words lies in one.
-A block contains a template if it holds a share `containment` of the template's distinct words, at least
+Blocks are runs of consecutive words of a text that overlap by half. Their length follows the template: a template of up to
+32 words meets blocks of 64, one of up to 64 words blocks of 128, and so on, so any stretch as long as the template lies in one. A block contains a template if it holds a share `containment` of the template's distinct words, at least
 `need` of them. Words are ordered by how often the corpus holds them, rarest first. Then the first common word is
 among the first `size - need + 1` words of the template (prefix); the block has to hold `need` template words
 (length), and enough of them must be left after the first common one, on both sides (position). What passes is
@@ -32,7 +32,54 @@ TEMPLATES = {
     "cc": "This work is licensed under a Creative Commons Attribution International License",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
-BLOCK_WORDS, STEP_WORDS = 64, 32
+# The texts of licenses, and of notices that stand in each file of a work, without names and years.
+TEXTS = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+        (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+        distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+        OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that
+        the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL
+        WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE
+        FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+        ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+        are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+        AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+        PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS;
+        OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "apache": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You
+        may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
+        software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or
+        implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "gpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published
+        by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope
+        that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
+        the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+        damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial
+        applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be
+        misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product
+        documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as
+        being the original software. This notice may not be removed or altered from any source distribution.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+        sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+        means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the
+        software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors.
+        We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright
+        law.""",
+}
+ALL_TEMPLATES = {label: [t[label] for t in (TEMPLATES, TEXTS) if label in t] for label in {**TEMPLATES, **TEXTS}}
+#: Words of the shortest step from block to block; a block has twice as many.
+STEP_WORDS = 32
 CONTAINMENT = 0.8
 
 
@@ -82,30 +129,40 @@ def token_order(docs: DataFrame, text: str, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (counts.get(w, 0), w))
 
 
-def template_prefixes(spark: SparkSession, templates: dict[str, str], order: list[str], containment: float) -> tuple[DataFrame, set[int]]:
-    """`token`, `place`, `template`, `label`, `tokens`, `need` for each prefix token of each template; and the prefix tokens."""
-    rank = {w: i for i, w in enumerate(order)}
-    rows = []
-    for label, text in templates.items():
-        tokens = sorted({rank[w] for w in words_of(text)})
-        need = max(1, math.ceil(containment * len(tokens)))
-        rows += [(tokens[i], i, text, label, tokens, need) for i in range(len(tokens) - need + 1)]
-    schema = "token int, place int, template string, label string, tokens array<int>, need int"
-    return spark.createDataFrame(rows, schema), {r[0] for r in rows}
+def step_of(words: int) -> int:
+    """The step from block to block for a template of so many words: a power of two that isn't smaller."""
+    return max(STEP_WORDS, 1 << (words - 1).bit_length())
 
 
-def _scan(docs: DataFrame, key: str, text: str, phrases: dict[str, str], order: list[str], prefix: set[int]) -> DataFrame:
-    """`key`, `n_words`, `base` (label and first word of each place of a phrase) and `blocks`, the template words of each block with a prefix token."""
+def template_prefixes(
+    spark: SparkSession, templates: dict[str, list[str]], order: list[str], containment: float
+) -> tuple[DataFrame, dict[int, set[int]]]:
+    """`token`, `step`, `place`, `label`, `tokens`, `need` for each prefix token of each template; and the prefix tokens of each step."""
+    rank = {w: i for i, w in enumerate(order)}
+    rows, prefixes = [], {}
+    for label, texts in templates.items():
+        for text in texts:
+            words = words_of(text)
+            tokens, step = sorted({rank[w] for w in words}), step_of(len(words))
+            need = max(1, math.ceil(containment * len(tokens)))
+            rows += [(tokens[i], step, i, label, tokens, need) for i in range(len(tokens) - need + 1)]
+            prefixes.setdefault(step, set()).update(tokens[: len(tokens) - need + 1])
+    schema = "token int, step int, place int, label string, tokens array<int>, need int"
+    return spark.createDataFrame(rows, schema), prefixes
+
+
+def _scan(docs: DataFrame, key: str, text: str, phrases: dict[str, str], order: list[str], prefixes: dict[int, set[int]]) -> DataFrame:
+    """`key`, `n_words`, `base` (label and first word of each place of a phrase) and `blocks`, step and template words of each block with a prefix token."""
     kind = docs.schema[key].dataType.simpleString()
     base_type = pa.struct([("label", pa.string()), ("at", pa.int64())])
+    block_type = pa.struct([("step", pa.int32()), ("tokens", pa.list_(pa.int32()))])
     parts = {phrase: words_of(phrase) for phrase in phrases}
     wanted = [*order, *sorted({w for p in parts.values() for w in p} - set(order))]
     place = {w: i for i, w in enumerate(wanted)}
 
     def run(batches):
         vocabulary = _Vocabulary(wanted)
-        in_prefix = np.zeros(len(wanted) + 1, bool)
-        in_prefix[list(prefix)] = True
+        in_prefix = {step: np.isin(np.arange(len(wanted) + 1), list(prefix)) for step, prefix in prefixes.items()}
         for batch in batches:
             number, base, blocks = [], [], []
             for _, _, data, offsets in pieces(batch.column(1)):
@@ -125,46 +182,49 @@ def _scan(docs: DataFrame, key: str, text: str, phrases: dict[str, str], order:
                         same &= token[i : i + last] == place[w]
                     for at in np.flatnonzero(same):
                         base_here[owner[at]].append({"label": phrases[phrase], "at": int(at - words.first[owner[at]])})
-                hits = np.flatnonzero(in_prefix[token])
-                of = owner[hits]
-                within = hits - words.first[of]
-                last_block = np.maximum(0, -(-(counts[of] - BLOCK_WORDS) // STEP_WORDS))
-                for back in (0, 1):
-                    block = within // STEP_WORDS - back
-                    ok = (block >= 0) & (block <= last_block)
-                    for t, b in set(zip(of[ok].tolist(), block[ok].tolist())):
-                        first = int(words.first[t]) + b * STEP_WORDS
-                        found = np.unique(token[first : min(first + BLOCK_WORDS, int(words.first[t + 1]))])
-                        blocks_here[t].append(found[(found >= 0) & (found < len(order))].tolist())
+                for step, inside in in_prefix.items():
+                    hits = np.flatnonzero(inside[token])
+                    of = owner[hits]
+                    within = hits - words.first[of]
+                    last_block = np.maximum(0, -(-(counts[of] - 2 * step) // step))
+                    for back in (0, 1):
+                        block = within // step - back
+                        ok = (block >= 0) & (block <= last_block)
+                        for t, b in set(zip(of[ok].tolist(), block[ok].tolist())):
+                            first = int(words.first[t]) + b * step
+                            found = np.unique(token[first : min(first + 2 * step, int(words.first[t + 1]))])
+                            blocks_here[t].append({"step": step, "tokens": found[(found >= 0) & (found < len(order))].tolist()})
                 base += base_here
                 blocks += blocks_here
-            columns = [batch.column(0), pa.array(number, pa.int64()), pa.array(base, pa.list_(base_type)), pa.array(blocks, pa.list_(pa.list_(pa.int32())))]
+            columns = [batch.column(0), pa.array(number, pa.int64()), pa.array(base, pa.list_(base_type)), pa.array(blocks, pa.list_(block_type))]
             yield pa.RecordBatch.from_arrays(columns, [key, "n_words", "base", "blocks"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words long, base array<struct<label:string,at:long>>, blocks array<array<int>>")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words long, base array<struct<label:string,at:long>>, blocks array<struct<step:int,tokens:array<int>>>")
 
 
 def find_licenses(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES,
+    templates: dict[str, list[str]] = ALL_TEMPLATES,
     containment: float = CONTAINMENT,
 ) -> DataFrame:
     """For each row of `docs`: `key`, `n_words`, `base` (places of phrases: label, first word) and `matches` (label, containment), each array sorted.
 
-    `templates` maps labels to texts of up to 32 words, `phrases` phrases to labels; both are small constants of the
-    program. Lower-cases A-Z; words are runs of letters, digits and everything beyond ASCII. Null and empty texts have no words.
-    Repeated rows and null keys get a row each; other columns are ignored. Whole texts are scanned.
+    `templates` maps labels to texts of any length, `phrases` phrases to labels; both are small constants of the
+    program. A label's containment is the largest of its texts. Lower-cases A-Z; words are runs of letters, digits and everything beyond ASCII. Null and empty texts have no words.
+    Repeated rows and null keys get a row each; other columns are ignored. Whole texts are scanned. Words that the corpus holds
+    equally often are ordered by the alphabet, which changes no result. An empty table gives no rows.
     """
-    for template in templates.values():
-        if not 1 <= len(words_of(template)) <= STEP_WORDS:
-            raise ValueError(f"a template has 1 to {STEP_WORDS} words")
-    order = token_order(bounded_batches(docs), text, sorted({w for t in templates.values() for w in words_of(t)}))
-    prefixes, prefix = template_prefixes(docs.sparkSession, templates, order, containment)
-    scan = _scan(docs, key, text, phrases, order, prefix).withColumn("row", F.monotonically_increasing_id())
+    if not all(words_of(t) for texts in templates.values() for t in texts):
+        raise ValueError("a template has at least one word")
+    order = token_order(bounded_batches(docs), text, sorted({w for texts in templates.values() for t in texts for w in words_of(t)}))
+    prefixes, by_step = template_prefixes(docs.sparkSession, templates, order, containment)
+    scan = _scan(docs, key, text, phrases, order, by_step).withColumn("row", F.monotonically_increasing_id())
     rows = stored(scan, "license-scan")
-    blocks = rows.select("row", F.explode("blocks").alias("block")).distinct().select("row", "block", F.posexplode("block").alias("at", "token"))
+    blocks = rows.select("row", F.explode("blocks").alias("b")).distinct().select("row", "b.step", F.col("b.tokens").alias("block"))
+    blocks = blocks.select("row", "step", "block", F.posexplode("block").alias("at", "token"))
     left = F.least(F.size("tokens") - F.col("place"), F.size("block") - F.col("at"))
     matches = (
-        blocks.join(prefixes, "token")
+        blocks.join(prefixes, ["token", "step"])
         .where((F.size("block") >= F.col("need")) & (left >= F.col("need")))  # length and position
         .withColumn("common", F.size(F.array_intersect("block", "tokens")))
         .where("common >= need")

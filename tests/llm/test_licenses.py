@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -22,10 +23,13 @@ def brute_force(rows, containment=0.8):
             p = phrase.split()
             base += [(label, i) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
         best = {}
-        for first in range(0, max(1, math.ceil((len(w) - 64) / 32) * 32 + 1), 32):
-            block = set(w[first : first + 64])
-            for label, template in licenses.TEMPLATES.items():
-                need = set(words(template))
+        for label, template in [(label, t) for label, texts in licenses.ALL_TEMPLATES.items() for t in texts]:
+            step = 32
+            while step < len(words(template)):
+                step *= 2
+            need = set(words(template))
+            for first in range(0, max(1, math.ceil((len(w) - 2 * step) / step) * step + 1), step):
+                block = set(w[first : first + 2 * step])
                 share = len(need & block) / len(need)
                 if len(need & block) >= math.ceil(containment * len(need)):
                     best[label] = max(best.get(label, 0), share)
@@ -62,7 +66,33 @@ def test_cases(make, tmp_path, spark):
     empty = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     assert licenses.find_licenses(empty).collect() == []
     with pytest.raises(ValueError):
-        licenses.find_licenses(empty, templates={"x": "word " * 33})
+        licenses.find_licenses(empty, templates={"x": ["words", "-- ?"]})
+
+
+def test_whole_licenses_anywhere(make, tmp_path, spark):
+    """Texts far longer than a sentence, at many places, some with words left out or a text in front that is as long."""
+    rng = random.Random(6)
+    rows = []
+    for i, (label, text) in enumerate(licenses.TEXTS.items()):
+        spelled = words(text)
+        for j, before in enumerate(range(0, 700, 97)):
+            left = [w for k, w in enumerate(spelled) if k % 12 or j % 2]
+            rows.append((100 * i + j, " ".join([f"x{k}" for k in range(before)] + left + [f"y{k}" for k in range(300)])))
+        rng.shuffle(spelled)
+        rows.append((100 * i + 50, " ".join(spelled[: int(0.6 * len(spelled))])))
+    path = str(tmp_path)
+    make(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    found = got(licenses.op9_prefix_filtered_license_scan(spark, path))
+    assert found == brute_force(rows)
+    labels = {r[0]: r[6].split(",") for r in found}
+    assert all(label in labels[100 * i + j] for i, label in enumerate(licenses.TEXTS) for j in range(8))
+
+
+def test_templates_of_any_length(make):
+    long = " ".join(f"t{i}" for i in range(1_000))
+    docs = make([(1, "a " * 777 + long + " b" * 500), (2, long[: len(long) // 2])], "doc_id long, text string")
+    found = {r.doc_id: r.matches for r in licenses.find_licenses(docs, templates={"long": [long], "short": ["b"]}).collect()}
+    assert [(m.label, m.containment) for m in found[1]] == [("long", 1.0), ("short", 1.0)] and found[2] == []
 
 
 def test_rarest_words_come_first(make):
