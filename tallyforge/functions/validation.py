@@ -88,14 +88,13 @@ def apply_rules(df: DataFrame, record: str, rules: Mapping[str, str]) -> DataFra
     REVIEW up to two, else REJECTED. A condition that is NULL counts as failed. Of a
     repeated field the last value counts.
     """
-    pairs = F.transform(
-        F.split(F.coalesce(F.col(record), F.lit("")), r"\|"), lambda part: F.split(part, "=", 2)
-    )
-    checked = df.withColumn("_pairs", pairs).withColumn("fields", F.map_from_entries(F.transform(
-        F.filter("_pairs", lambda pair, i: ~F.exists(
-            F.filter("_pairs", lambda later, j: j > i), lambda later: later[0] == pair[0])),
-        lambda pair: F.struct(pair[0], F.get(pair, F.lit(1))),
-    ))).drop("_pairs")
+    parts = F.transform(F.split(F.coalesce(F.col(record), F.lit("")), r"\|"), lambda part: F.split(part, "=", 2))
+    # By name, the last first: then the first of each name is the one that counts.
+    entries = F.array_sort(F.transform(parts, lambda pair, i: F.struct(pair[0].alias("name"), (-i).alias("back"), F.get(pair, F.lit(1)).alias("value"))))
+    is_new = lambda entry, i: (i == 0) | (F.get("_entries", i - 1)["name"] != entry["name"])
+    checked = df.withColumn("_entries", entries).withColumn("fields", F.map_from_entries(F.transform(
+        F.filter("_entries", is_new), lambda entry: F.struct(entry["name"], entry["value"]),
+    ))).drop("_entries")
     failures = F.array_compact(
         F.array(
             *[F.when(~F.coalesce(F.expr(condition), F.lit(False)), name) for name, condition in rules.items()]
