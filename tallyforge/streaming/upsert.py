@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge.operators.dedup import keep_first
@@ -153,9 +153,11 @@ def upsert_batch(
             writers = plan[-1][3] + plan[-1][4]
             known = spark.createDataFrame(plan, f"{_BITS} int, {_BUCKET} long, _after int, _first int, _writers int")
             columns = batch.columns
+            # Rows without a key are told apart by their other columns. Maps and variants have no hash.
+            hashed = [f.name for f in batch.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
             laid = (
                 state.join(F.broadcast(known), [_BITS, _BUCKET])
-                .withColumn("_writer", F.col("_first") + F.pmod(F.xxhash64(F.lit("writer"), *columns), "_writers").cast("int"))
+                .withColumn("_writer", F.col("_first") + F.pmod(F.xxhash64(F.lit("writer"), *hashed), "_writers").cast("int"))
                 .select(*columns, F.col("_after").alias(_BITS), _low(F.col("_after")).alias(_BUCKET), "_writer")
             )
             laid = laid.repartitionById(writers, "_writer").drop("_writer")

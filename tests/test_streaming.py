@@ -201,6 +201,14 @@ def test_upsert_repeats_a_batch_that_died_while_moving(spark, rows, tmp_path, mo
     assert upsert.read_upserted(spark, path).count() == 700
 
 
+def test_upsert_takes_columns_that_have_no_hash(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = keyed(spark, 0, 50, "a").withColumn("m", F.create_map(F.lit("x"), F.col("k")))
+    for number in range(2):
+        upsert.upsert_batch(rows, number, path, ["k"], [F.desc("v")], bucket_rows=20, task_rows=5)
+    assert {r.k: r.m for r in upsert.read_upserted(spark, path).collect()} == {k: {"x": k} for k in range(50)}
+
+
 def test_upsert_of_empty_batches_and_null_keys(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert.upsert_batch(keyed(spark, 0, 0, "a"), 0, path, ["k"], [F.desc("v")])
