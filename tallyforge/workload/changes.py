@@ -6,7 +6,7 @@ from tallyforge.operators import changes
 from tallyforge.plans import taxi
 from tallyforge.session import shared_dir
 from tallyforge.sources import states
-from tallyforge.workload.registry import query, r, rounded
+from tallyforge.workload.registry import query, rounded
 
 
 def with_large_fares(t):

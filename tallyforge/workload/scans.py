@@ -8,7 +8,7 @@ from tallyforge.session import shared_dir
 from tallyforge.sources import files, ingest, sinks, states
 from tallyforge.streaming import views
 from tallyforge.streaming.runners import append_to_files, finish
-from tallyforge.workload.registry import query, r, rounded, stamp
+from tallyforge.workload.registry import query, r, stamp
 
 PLAIN_CUSTOMERS = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
