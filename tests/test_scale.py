@@ -186,6 +186,23 @@ def test_forests_are_ranked_by_error(spark):
     assert ranked[0]["r2"] > 0.9 > ranked[1]["r2"]
 
 
+def test_trees_are_grown_on_cells_that_stand_for_all_rows(spark, monkeypatch):
+    """Twenty times the rows give hardly more cells, with all rows and the whole sum of labels in them."""
+    grown, features = [], ["x", "hour"]
+    fit = models.RandomForestRegressor.fit
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, cells, *more: grown.append(cells) or fit(self, cells, *more))
+    for n in (20_000, 400_000):
+        data = spark.range(n).select(
+            F.rand(1).alias("x"), (F.col("id") % 24).alias("hour"), (F.col("id") % 7).cast("double").alias("noise")
+        ).withColumn("y", 10 * F.col("x") + F.col("hour") + F.col("noise"))
+        model = models.fit_forest(data, features, "y", 5, 8)
+        error = model.transform(data).agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
+        assert 1.9 < error < 2.5  # that of the noise is 2
+        total = grown[-1].agg(F.sum("_weight"), F.sum(F.col("_weight") * F.col("y"))).first()
+        assert total[0] == n and total[1] == pytest.approx(data.agg(F.sum("y")).first()[0])
+        assert grown[-1].count() <= 32 * 24 * models.CELL_PARTS
+
+
 def test_text_classifier_learns_a_word(spark):
     data = spark.range(200).select(
         "id", F.when(F.col("id") % 2 == 0, "what a fine day").otherwise("what a grey day").alias("t"), ((F.col("id") + 1) % 2).cast("int").alias("y")
