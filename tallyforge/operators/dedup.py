@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+COPIES_PER_TASK = 1 << 19
+
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], *order: Column) -> DataFrame:
     """One row per key: the first in `order`.
@@ -47,9 +50,10 @@ def with_noisy_copies(
 ) -> DataFrame:
     """Repeat each row `copies` times; column c is upper-cased in every upper_every[c]-th copy.
 
-    `partitions` spreads the rows before they multiply, for an input of few partitions.
+    `partitions` spreads the rows before they multiply, for an input of few partitions: over as many at least, and over
+    more where one would get over `COPIES_PER_TASK` copies. So what sorts or counts them next fits in a task's memory.
     """
-    spread = df.repartition(partitions) if partitions else df
+    spread = df.repartition(max(partitions, ceil(df.count() * copies / COPIES_PER_TASK))) if partitions else df
     repeated = spread.withColumn("duplicate_id", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     noisy = {
         column: F.when(F.col("duplicate_id") % step == 0, F.upper(column)).otherwise(F.col(column))

@@ -105,6 +105,15 @@ def test_noisy_copies_fold_back(spark):
     assert dedup.keep_first_ignoring_case(noisy, ["name", "email"], [F.col("duplicate_id")]).count() == 20
 
 
+def test_noisy_copies_are_spread_by_their_number(spark):
+    """No task gets more copies than the bound, however few partitions are asked for; they stay as asked for where that is enough."""
+    people = spark.range(6_000).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    noisy = dedup.with_noisy_copies(people, 350, {"name": 3}, 2)
+    sizes = [r["count"] for r in noisy.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6_000 * 350 and max(sizes) <= 1.1 * dedup.COPIES_PER_TASK
+    assert dedup.with_noisy_copies(people, 2, {}, 3).rdd.getNumPartitions() == 3
+
+
 RULES = {"positive": "v > 0", "small": "v < 8"}
 
 
