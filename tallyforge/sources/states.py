@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _PARTITIONS = ("version", "operation")
+#: What a task sorts at most for one file.
+FILE_ROWS = 3 << 20
 
 
 def write_state(df: DataFrame, path: str, version: int, operation: str) -> None:
@@ -36,14 +39,19 @@ def history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(*_PARTITIONS).agg(F.count("*").alias("rows"))
 
 
-def clustered(df: DataFrame, column: str, files: int) -> DataFrame:
-    """At most `files` partitions, clustered on a column.
+def _files_for(df: DataFrame, files: int, file_rows: int) -> int:
+    """`files`, or more where a file would get over `file_rows` rows, as one task sorts the rows of a file. Counts the rows."""
+    return max(files, ceil(df.count() / file_rows))
+
+
+def clustered(df: DataFrame, column: str, files: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """At most `files` partitions, clustered on a column; more for a table of over `files` times `file_rows` rows.
 
     Rows near in `column` share a file, so a filter on it skips the others. A
     hash of the row breaks ties, which spreads a value with very many rows.
     """
     spread = F.xxhash64(*df.columns)
-    return df.repartitionByRange(files, F.col(column), spread).sortWithinPartitions(column)
+    return df.repartitionByRange(_files_for(df, files, file_rows), F.col(column), spread).sortWithinPartitions(column)
 
 
 def _number_of(df: DataFrame, column: str) -> Column:
@@ -67,8 +75,8 @@ def curve_place(ranks: Sequence[Column], bits: int) -> Column:
     return place
 
 
-def clustered_by_all(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
-    """At most `files` partitions, clustered on several columns at once.
+def clustered_by_all(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6, file_rows: int = FILE_ROWS) -> DataFrame:
+    """At most `files` partitions, clustered on several columns at once; more for a table of over `files` times `file_rows` rows.
 
     Each column becomes its rank among 2^bits ranges of equal row counts, and rows are laid out along a curve through these ranks. So a
     filter on any one of the columns skips most files, where plain clustering serves the first only. NULL has rank 0. The
@@ -86,4 +94,4 @@ def clustered_by_all(df: DataFrame, columns: Sequence[str], files: int, bits: in
     # Values that repeat a lot take few of the ranges; the others keep their order.
     ranks = [rank(number, sorted(set(bounds[i] or []))) for i, number in enumerate(numbers.values())]
     laid = df.withColumn("_place", curve_place(ranks, bits))
-    return laid.repartitionByRange(files, "_place", F.xxhash64(*df.columns)).sortWithinPartitions("_place").drop("_place")
+    return laid.repartitionByRange(_files_for(df, files, file_rows), "_place", F.xxhash64(*df.columns)).sortWithinPartitions("_place").drop("_place")

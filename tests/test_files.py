@@ -145,6 +145,15 @@ def test_clustering_lets_files_be_skipped(spark, rows, tmp_path):
     assert len(spans) == 3 and sorted(s[2] for s in spans)[0] <= sorted(s[1] for s in spans)[-1]
 
 
+def test_clustered_files_hold_a_bounded_number_of_rows(spark, rows, tmp_path):
+    many = spark.range(8000).select("id", (F.col("id") * 7919 % 100).alias("zone")).repartition(8)
+    for name, laid in (("one", states.clustered(many, "zone", 2, file_rows=1000)), ("all", states.clustered_by_all(many, ["zone", "id"], 2, file_rows=1000))):
+        states.write_state(laid, str(tmp_path / name), 0, "compact")
+        kept = states.read_state(spark, str(tmp_path / name))
+        sizes = [r["count"] for r in kept.groupBy(F.input_file_name()).count().collect()]
+        assert rows(kept) == rows(many) and len(sizes) <= 8 and max(sizes) < 2000
+
+
 def test_clustering_spreads_one_value(spark, tmp_path):
     same = spark.range(4000).select("id", F.lit(1).alias("zone"))
     states.write_state(states.clustered(same, "zone", 4), str(tmp_path / "t"), 0, "compact")
