@@ -121,3 +121,10 @@ def test_bounds_are_quantiles_of_each_language(make):
     bounds = {r.lang: r for r in quality.language_bounds(make(values, "lang string, perplexity double"), reach=1.0).collect()}
     assert math.log(bounds["en"].low) == pytest.approx(0.1 - 0.4, abs=0.02) and math.log(bounds["en"].high) == pytest.approx(0.5 + 0.4, abs=0.02)
     assert bounds[None].low < 5 < bounds[None].high
+
+
+def test_all_documents_labelled_as_good_train_the_model(spark):
+    ids = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, 0).otherwise(1).alias("quality"))
+    labels = ids.unionByName(ids.where("doc_id < 50")).unionByName(ids.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(1).alias("quality")))
+    found = [r.doc_id for r in quality.training_ids(labels).collect()]
+    assert sorted(found) == [i for i in range(30_000) if i % 10]
