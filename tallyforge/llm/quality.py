@@ -145,6 +145,21 @@ def _sent(docs: DataFrame, order: int) -> DataFrame:
     return docs.mapInArrow(run, "piece long, words binary, n_words long")
 
 
+def _formed_once(blobs, order: int) -> tuple[list[tuple], pa.Array]:
+    """The packed pieces of a unit as keys, distinct n-grams, the n-gram at each character and each text's first; all n-grams of the unit, sorted.
+
+    A piece's n-grams are formed once and kept, four bytes a character, until the unit's values are at hand.
+    """
+    seen, held = [], []
+    for blob in blobs:
+        data, lengths, keys = unpacked(blob.as_py(), "u1", "<i8", "u1")
+        rows, place, start = _grams(data, np.concatenate([[0], np.cumsum(lengths)]), order)
+        listed = _gram_array(rows, order)
+        held.append((keys, listed, place.astype(np.int32), start))
+        seen.append(pa.table([listed, pa.array(np.zeros(len(rows), np.int64))], ["gram", "n"]))
+    return held, _chunk(_united(seen)["gram"])
+
+
 def _exploded(vocabulary: DataFrame) -> DataFrame:
     """`shard`, `place`, `gram` and `n`, a row for each distinct n-gram of the corpus."""
 
@@ -244,18 +259,11 @@ def perplexities(docs: DataFrame, trusted: Column, key: str = "doc_id", text: st
             for blobs, found in zip(batch.column(0), batch.column(1)):
                 if not found.is_valid:
                     raise ValueError("the texts were read in other pieces than before; store them first")
-                seen = []
-                for blob in blobs:
-                    data, lengths, _ = unpacked(blob.as_py(), "u1", "<i8", "u1")
-                    rows, _, _ = _grams(data, np.concatenate([[0], np.cumsum(lengths)]), order)
-                    seen.append(pa.table([_gram_array(rows, order), pa.array(np.zeros(len(rows), np.int64))], ["gram", "n"]))
-                grams = _chunk(_united(seen)["gram"])
+                held, grams = _formed_once(blobs, order)
                 (logs,) = found_for(as_words(_bytes_of(grams), np.full(len(grams), _WIDTH * order, np.int64)), shards, found, ("<f4",))
-                for blob in blobs:
-                    data, lengths, keys = unpacked(blob.as_py(), "u1", "<i8", "u1")
+                for keys, listed, place, start in held:
                     keys = pa.ipc.open_stream(keys.tobytes()).read_all().combine_chunks().to_batches()[0]
-                    rows, place, start = _grams(data, np.concatenate([[0], np.cumsum(lengths)]), order)
-                    own = logs[pc.index_in(_gram_array(rows, order), value_set=grams).to_numpy()]
+                    own = logs[pc.index_in(listed, value_set=grams).to_numpy()]
                     each = np.diff(start)  # characters and the end of the text
                     total = np.add.reduceat(own[place].astype(np.float64), start[:-1])
                     yield pa.RecordBatch.from_arrays([keys.column(0), keys.column(1), pa.array(each - 1), pa.array(np.exp(-total / each))], ["key", "lang", "n_chars", "perplexity"])

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +129,15 @@ def test_all_documents_labelled_as_good_train_the_model(spark):
     labels = ids.unionByName(ids.where("doc_id < 50")).unionByName(ids.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(1).alias("quality")))
     found = [r.doc_id for r in quality.training_ids(labels).collect()]
     assert sorted(found) == [i for i in range(30_000) if i % 10]
+
+
+def test_a_piece_forms_its_ngrams_once(monkeypatch):
+    forms, called = quality._grams, []
+    monkeypatch.setattr(quality, "_grams", lambda *a: called.append(1) or forms(*a))
+    blob = lambda text: pa.scalar(quality.packed(np.frombuffer(text, np.uint8), np.array([len(text)], "<i8"), np.empty(0, np.uint8)))
+    held, grams = quality._formed_once([blob(b"abab"), blob(b"ba")], 2)
+    assert len(called) == 2 and len(held) == 2
+    for (_, listed, place, _), want in zip(held, (["^a", "ab", "ba", "ab", "b$"], ["^b", "ba", "a$"])):
+        read = lambda g: "".join({0x110000: "^", 0x110001: "$"}.get(c) or chr(c) for c in (int.from_bytes(g[:3]), int.from_bytes(g[3:])))
+        assert [read(listed[int(i)].as_py()) for i in place] == want
+    assert sorted(set(g for _, listed, *_ in held for g in listed.to_pylist())) == grams.to_pylist()
