@@ -101,8 +101,11 @@ def vocabulary_of(parts: DataFrame, shards: int) -> DataFrame:
     return stored(merged, "vocabulary")
 
 
-def answers_by_piece(vocabulary: DataFrame, values: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    """`piece` and `answers`: for each shard the values of the piece's items. `values` has, for each shard, `found`: arrays of `kinds`, one entry per item."""
+def answers_by_piece(vocabulary: DataFrame, values: DataFrame, kinds: tuple[str, ...], steps: bool = False) -> DataFrame:
+    """`piece` and `answers`: for each shard the values of the piece's items. `values` has, for each shard, `found`: arrays of `kinds`, one entry per item.
+
+    With `steps` members hold the steps from place to place.
+    """
 
     def run(batches):
         for batch in batches:
@@ -110,6 +113,7 @@ def answers_by_piece(vocabulary: DataFrame, values: DataFrame, kinds: tuple[str,
                 arrays = unpacked(found.as_py(), *kinds)
                 for member in members:
                     (at,) = unpacked(member["at"].as_py(), "<i4")
+                    at = np.cumsum(at) if steps else at
                     mine = packed(*(a[at] for a in arrays))
                     yield pa.RecordBatch.from_arrays([pa.array([member["piece"].as_py()]), pa.array([shard], pa.int32()), pa.array([mine], pa.binary())], ["piece", "shard", "found"])
 
@@ -120,9 +124,13 @@ def answers_by_piece(vocabulary: DataFrame, values: DataFrame, kinds: tuple[str,
 
 def found_for(items: Words, shards: int, answers, kinds: tuple[str, ...]) -> list[np.ndarray]:
     """The values of a piece's items, in the piece's order, from its row of `answers_by_piece`."""
-    shard = shard_of(items, shards)
+    return found_in(shard_of(items, shards), answers, kinds)
+
+
+def found_in(shard: np.ndarray, answers, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """As `found_for`, for items in these shards."""
     order = np.argsort(shard, kind="stable")
-    out = [np.zeros(len(items), kind) for kind in kinds]
+    out = [np.zeros(len(shard), kind) for kind in kinds]
     for part in answers:
         a, b = np.searchsorted(shard[order], [part["shard"].as_py(), part["shard"].as_py() + 1])
         for whole, mine in zip(out, unpacked(part["found"].as_py(), *kinds)):

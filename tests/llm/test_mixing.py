@@ -95,3 +95,33 @@ def test_arrays_survive_packing():
     a, b = np.arange(7, dtype="<i4"), np.empty(0, "<f4")
     x, y = exchange.unpacked(exchange.packed(a, b), "<i4", "<f4")
     assert x.tolist() == a.tolist() and len(y) == 0
+
+
+def test_contexts_cross_words(spark, make):
+    """A text scores better than the same words in another order, and scores add up over its bytes."""
+    names = ["alpha", "brook", "cedarwood", "delta", "ember", "fjord"]
+    lines = [" ".join(names[(i + k) % 6] for k in range(24)) for i in range(6)]
+    mixed_up = " ".join(names[(5 * k * k + k) % 6] for k in range(24))
+    same_bag = " ".join(sorted(lines[0].split()))
+    rows = [*((i, text) for i, text in enumerate(lines * 8)), (100, lines[0]), (101, same_bag), (102, mixed_up)]
+    found = mixing.score_texts(make(rows, "doc_id long, text string"), "doc_id", "text", F.col("doc_id") >= 100, F.col("doc_id") < 100).collect()
+    score = {r.doc_id: r.score for r in found}
+    assert score[100] == pytest.approx(score[0], abs=1e-6)
+    assert score[101] < score[100] - 5
+
+
+def test_heads_are_read_from_whole_lines():
+    texts = ["Ab  cdefghij\tk", "", "x"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    lower = mixing.LOWER[data]
+    words = mixing.split(lower, np.cumsum([0, *map(len, texts)]), mixing.UNSPACED)
+    line, lengths = mixing._lines(words, lower)
+    assert line.tobytes() == b"ab cdefghij k \n" + b"\n" + b"x \n" and lengths.tolist() == [15, 1, 3]
+    want = []
+    for i, text in enumerate([b"ab cdefghij k \n", b"\n", b"x \n"]):
+        for at in range(len(text)):
+            place = at - (text[:at].rfind(b" ") + 1)
+            if place < 6:
+                want.append(((place << 56) | int.from_bytes(text[max(0, at - 6) : at + 1], "big"), i))
+    items, text_of = mixing._heads(line, lengths)
+    assert list(zip(items.tolist(), text_of.tolist())) == want
