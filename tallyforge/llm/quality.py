@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyforge.llm.exchange import answers_by_piece, as_words, found_for, packed, shards_for, unpacked, vocabulary_of
 from tallyforge.llm.words import bounded_batches, pieces
-from tallyforge.session import stored
+from tallyforge.session import remove, scratch, shared_dir, stored
 
 ORDER = 5
 PIECE_BYTES, UNIT_BYTES = 1 << 21, 1 << 23
@@ -225,13 +225,15 @@ def perplexities(docs: DataFrame, trusted: Column, key: str = "doc_id", text: st
     texts are counted and scored. Without trusted text all characters are equally likely. `docs` has to be read from files.
     """
     source = bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(trusted, F.lit(False)).alias("trusted"), F.col(lang).alias("lang"))
+    spark = docs.sparkSession
+    pieces_folder, values_folder = shared_dir(spark, "gram-pieces"), shared_dir(spark, "gram-values")
     # The same columns as in the second scan, as the size of a batch is one of bytes.
-    sent = stored(_sent(source, order), "gram-pieces")
+    made = _sent(source, order)
+    made.write.parquet(pieces_folder)
+    sent = spark.read.schema(made.schema).parquet(pieces_folder)
     shards = shards_for(sent, "n_words")
     vocabulary = vocabulary_of(sent, shards)
-    grams = stored(_exploded(vocabulary), "grams")
-    known = grams.join(gram_probabilities(grams.select("gram", "n"), order), "gram").select("shard", "place", "p")
-    listed = known.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("place", "p"))).alias("found"))
+    remove(spark, pieces_folder)  # the vocabulary is stored and has all of it
 
     def pack_values(batches):
         for batch in batches:
@@ -239,7 +241,13 @@ def perplexities(docs: DataFrame, trusted: Column, key: str = "doc_id", text: st
                 values = np.log(found.values.field("p").to_numpy()).astype("<f4")
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([packed(values)], pa.binary())], ["shard", "found"])
 
-    values = stored(listed.select("shard", "found.p").select("shard", F.transform("p", lambda x: F.struct(x.alias("p"))).alias("found")).mapInArrow(pack_values, "shard int, found binary"), "gram-values")
+    with scratch(spark):  # n-grams and their probabilities, a row each, go before the texts are sent
+        grams = stored(_exploded(vocabulary), "grams")
+        known = grams.join(gram_probabilities(grams.select("gram", "n"), order), "gram").select("shard", "place", "p")
+        listed = known.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("place", "p"))).alias("found"))
+        found = listed.select("shard", "found.p").select("shard", F.transform("p", lambda x: F.struct(x.alias("p"))).alias("found"))
+        found.mapInArrow(pack_values, "shard int, found binary").write.parquet(values_folder)
+    values = spark.read.schema("shard int, found binary").parquet(values_folder)
     answers = answers_by_piece(vocabulary, values, ("<f4",))
 
     def form(batches):

@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.llm import quality
+from tallyforge.session import scratch
 
 ORDER = 3
 
@@ -141,3 +143,11 @@ def test_a_piece_forms_its_ngrams_once(monkeypatch):
         read = lambda g: "".join({0x110000: "^", 0x110001: "$"}.get(c) or chr(c) for c in (int.from_bytes(g[:3]), int.from_bytes(g[3:])))
         assert [read(listed[int(i)].as_py()) for i in place] == want
     assert sorted(set(g for _, listed, *_ in held for g in listed.to_pylist())) == grams.to_pylist()
+
+
+def test_tables_of_ngrams_are_gone_before_texts_are_sent(spark, make, tmp_path):
+    df = written(spark, make, str(tmp_path / "d"), ROWS, "doc_id long, text string, lang string, good boolean")
+    with scratch(spark) as folder:
+        found = quality.perplexities(df, F.col("good"))
+        left = {name.rsplit("-", 1)[0] for name in os.listdir(folder)}
+        assert left == {"vocabulary", "gram-values"} and found.count() == len(ROWS)
