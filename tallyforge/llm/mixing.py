@@ -33,12 +33,13 @@ ORDERS = ((1, 16), (2, 18), (3, 18), (4, 20), (6, 20), (0, 20))
 CHUNK = 1 << 14
 BUCKETS = 33
 RATE, BATCH_WORDS = 0.05, 64
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 HEAD = 6  # bytes of a word, from its start, of which contexts reach back over the start
 SPACE = 0x20
 END = b"\n"  # the token at the end of a text; no word holds it
 #: What each slot has seen of both bits before the first word; little, as most contexts know the next bit.
 _DELTA = 0.02
-_WORDS_AT_ONCE = 1 << 13
+_WORDS_AT_ONCE, _BATCHES_AT_ONCE = 1 << 13, 16
 #: A gate for how often the word so far was seen (by powers of two), and its last four bytes: never, up to 8 times, more often.
 _LEVELS = 16
 _GATES = 3 * _LEVELS
@@ -63,22 +64,61 @@ def _lines(words: Words, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return line, np.diff(stop, prepend=0)
 
 
-def _heads(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The items of the heads of all words, in order: place in the word, six bytes before in the text (zeros before its start), byte; and their texts."""
+def _openings(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each word, in order, with the space after it: the six bytes before in the text and its first six (zeros beyond the start and the end), how many these are, its text."""
     starts = np.cumsum(lengths) - lengths
     new = np.zeros(len(line), bool)
     new[1:] = line[:-1] == SPACE
     new[starts] = True
-    at = np.arange(len(line), dtype=np.int32)
-    place = at - np.maximum.accumulate(np.where(new, at, np.int32(0)))
-    wide = line.astype(np.uint64)
-    item = wide.copy()
-    for back in range(1, HEAD + 1):
-        item[back:] |= wide[:-back] << np.uint64(8 * back)
-    for passed in range(HEAD):
-        item[(starts + passed)[lengths > passed]] &= np.uint64((1 << 8 * (passed + 1)) - 1)
-    here = np.flatnonzero(place < HEAD)
-    return item[here] | place[here].astype(np.uint64) << np.uint64(56), np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[here]
+    at = np.flatnonzero(new)
+    text_of = np.repeat(np.arange(len(lengths), dtype=np.int32), np.diff(np.searchsorted(at, np.append(starts, len(line)))))
+    padded = np.concatenate([np.zeros(8, np.uint8), line, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(line) + 9,), np.dtype(">u8"), padded, strides=(1,))
+    six, byte = np.uint64(8 * HEAD), np.uint64(8)
+    passed = np.minimum(at - starts[text_of], HEAD).astype(np.uint64)
+    before = lanes[at].astype(np.uint64) & ((np.uint64(1) << byte * passed) - np.uint64(1))
+    size = np.minimum(np.diff(at, append=len(line)), HEAD)
+    beyond = six - byte * size.astype(np.uint64)
+    return before, lanes[at + 8].astype(np.uint64) >> np.uint64(64) - six >> beyond << beyond, size, text_of
+
+
+def _items_at(place: int, before: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The items of some openings at one place in the word: place, six bytes before, byte."""
+    item = before << np.uint64(8 * (place + 1)) | first >> np.uint64(8 * (HEAD - 1 - place))
+    return item & np.uint64((1 << 8 * (HEAD + 1)) - 1) | np.uint64(place << 56)
+
+
+def _heads(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The items of the heads of all words, in order: place in the word, six bytes before in the text (zeros before its start), byte; and their texts."""
+    before, first, size, text_of = _openings(line, lengths)
+    items = np.stack([_items_at(place, before, first) for place in range(HEAD)], axis=1)
+    return items[np.arange(HEAD) < size[:, None]], np.repeat(text_of, size)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one example of each distinct value, in the order of the values, and the number of every value in it."""
+    order = np.argsort(values)
+    new = np.diff(values[order], prepend=~values[order[:1]]) != 0
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _distinct_heads(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The items of `_heads`, formed once for words that open alike: distinct items, sorted; for each item of each opening its place there and the opening; for each word its opening and its text."""
+    before, first, size, text_of = _openings(line, lengths)
+    example, opening = _distinct(mixed(mixed(before) * _ODD + first))
+    before, first, size = before[example], first[example], size[example]
+    items, number, owner, known = [], [], [], 0
+    for place in range(HEAD):
+        here = np.flatnonzero(size > place)
+        item = _items_at(place, before[here], first[here])
+        one, which = _distinct(item)
+        items.append(item[one])
+        number.append((which + known).astype(np.int32))
+        owner.append(here.astype(np.int32))
+        known += len(one)
+    return np.concatenate(items), np.concatenate(number), np.concatenate(owner), opening, text_of
 
 
 def _head_shard(items: np.ndarray, shards: int) -> np.ndarray:
@@ -103,7 +143,7 @@ def _united(batches):
 def _tokens(words: Words, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct tokens of a piece, sorted by hash, as bytes and lengths; the place there of each token, the ends of texts last; the text of each."""
     hashes = np.concatenate([word_hashes(words), word_hashes(as_words(np.frombuffer(END, np.uint8), np.ones(1, np.int64)))])
-    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    first, place = _distinct(hashes)
     # Every text gets a token for its end.
     whole = Words(np.concatenate([words.data, np.frombuffer(END, np.uint8)]), np.append(words.starts, len(words.data)), np.append(words.ends, len(words.data) + 1), words.first)
     spelled, lengths = spelled_words(whole, first)
@@ -156,11 +196,9 @@ def _heads_of(parts: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for piece, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 _, line, long, teaches = unpacked(blob.as_py(), "u1", "u1", "<i8", "u1")
-                items, text_of = _heads(line, long)
-                items = np.sort(items << np.uint64(1) | teaches[text_of])
-                taught, items = (items & np.uint64(1)).astype("<i4"), items >> np.uint64(1)
-                heads = np.flatnonzero(np.diff(items, prepend=~items[:1]))
-                train, items = np.add.reduceat(taught, heads).astype("<i4"), items[heads]
+                items, number, owner, opening, text_of = _distinct_heads(line, long)
+                taught = np.bincount(opening, teaches[text_of])
+                train = np.bincount(number, taught[owner]).astype("<i4")
                 shard = _head_shard(items, shards)
                 order = np.argsort(shard, kind="stable")
                 cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
@@ -250,42 +288,72 @@ class _Bits:
             self.slots.append(slot.reshape(-1).view(np.int64))
 
 
-def _batches(data: np.ndarray, lengths: np.ndarray, size: int, skip: int = 0):
-    """The bits of `size` words at a time (fewer where they are long), with the words' numbers."""
-    ends = np.cumsum(lengths, dtype=np.int64)
+def _spans(ends: np.ndarray, lengths: np.ndarray, size: int):
+    """First word and the one after the last of `size` words at a time, fewer where they are long."""
     first = 0
     while first < len(lengths):
         start = int(ends[first] - lengths[first])
         last = min(first + size, max(first + 1, int(np.searchsorted(ends, start + 16 * size, side="right"))))
-        yield first, last, _Bits(data[start : ends[last - 1]], lengths[first:last].astype(np.int64), skip)
+        yield first, last
         first = last
 
 
-def _items(is_head: bool, blob: bytes, size: int, learn: bool = False):
-    """The items of a shard, some at a time: their places, their bits, and for each bit how often its item was seen in training. Words without tails are left out.
+def _batches(data: np.ndarray, lengths: np.ndarray, size: int, skip: int = 0):
+    """The bits of `size` words at a time (fewer where they are long), with the words' numbers."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    for first, last in _spans(ends, lengths, size):
+        yield first, last, _Bits(data[ends[first] - lengths[first] : ends[last - 1]], lengths[first:last].astype(np.int64), skip)
+
+
+def _items(is_head: bool, blob: bytes, size: int):
+    """The items of a shard, some at a time: their places, their bits, and for each bit how often its item was seen in training. Words without tails are left out."""
+    if is_head:
+        items, train = unpacked(blob, "<u8", "<i8")
+        for first in range(0, len(items), HEAD * size):
+            bits = _Bits.of_heads(items[first : first + HEAD * size])
+            yield np.arange(first, min(first + HEAD * size, len(items))), bits, train[first : first + HEAD * size][bits.word]
+        return
+    data, lengths, train = unpacked(blob, "u1", "<i4", "<i8")
+    order = np.flatnonzero(lengths >= HEAD)
+    data, lengths = spelled_words(as_words(data, lengths.astype(np.int64)), order)
+    for first, last, bits in _batches(data, lengths, size, HEAD):
+        yield order[first:last], bits, train[order[first:last]][bits.word]
 
-    `learn` gives those seen in training alone, in an order of their own, so that a batch isn't one stretch of the alphabet.
+
+def _lessons(is_head: bool, blob: bytes):
+    """As `_items`, for items seen in training, in an order of their own, so that a batch isn't one stretch of the alphabet: bits, counts, and where batches of them start and end.
+
+    Bits are formed for some batches at once, which is less work than for each.
     """
     if is_head:
         items, train = unpacked(blob, "<u8", "<i8")
-        order = np.arange(len(items))
-        if learn:
-            order = np.argsort(mixed(items + np.uint64(9)))
-            order = order[train[order] > 0]
-        for first in range(0, len(order), HEAD * size):
-            at = order[first : first + HEAD * size]
+        order = np.argsort(mixed(items + np.uint64(9)))
+        order = order[train[order] > 0]
+        step = HEAD * BATCH_WORDS
+        for first in range(0, len(order), _BATCHES_AT_ONCE * step):
+            at = order[first : first + _BATCHES_AT_ONCE * step]
             bits = _Bits.of_heads(items[at])
-            yield at, bits, train[at][bits.word]
+            yield bits, train[at][bits.word], np.append(np.arange(0, len(at), step), len(at)) * 8
         return
     data, lengths, train = unpacked(blob, "u1", "<i4", "<i8")
     words = as_words(data, lengths.astype(np.int64))
     order = np.flatnonzero(lengths >= HEAD)
-    if learn:
-        order = order[np.argsort(word_hashes(words, seed=9)[order], kind="stable")]
-        order = order[train[order] > 0]
+    order = order[np.argsort(word_hashes(words, seed=9)[order], kind="stable")]
+    order = order[train[order] > 0]
     data, lengths = spelled_words(words, order)
-    for first, last, bits in _batches(data, lengths, size, HEAD):
-        yield order[first:last], bits, train[order[first:last]][bits.word]
+    ends = np.cumsum(lengths, dtype=np.int64)
+    spans = list(_spans(ends, lengths, BATCH_WORDS))
+    group = 0
+    while group < len(spans):
+        first, stop = spans[group][0], group + 1
+        start = ends[first] - lengths[first]
+        while stop < len(spans) and ends[spans[stop][1] - 1] - start <= 16 * BATCH_WORDS * _BATCHES_AT_ONCE:
+            stop += 1
+        last = spans[stop - 1][1]
+        bits = _Bits(data[start : ends[last - 1]], lengths[first:last].astype(np.int64), HEAD)
+        cuts = np.searchsorted(bits.word, [a - first for a, _ in spans[group:stop]] + [last - first])
+        yield bits, train[order[first:last]][bits.word], cuts
+        group = stop
 
 
 def _slot_counts(vocabulary: DataFrame) -> list[np.ndarray]:
@@ -398,19 +466,20 @@ def _learned(vocabulary: DataFrame, tables) -> Model:
             for is_head, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 model, here = _untrained(tables.value), np.zeros(_GATES)
                 squares = np.full_like(model.weights, 1e-2)
-                for _, bits, weight in _items(is_head, blob.as_py(), BATCH_WORDS, learn=True):
-                    inputs, gate = model.inputs(bits, np.ones(len(bits.value)))
-                    weight = weight.astype(np.float64)
-                    mix = model.mix(inputs, gate)
-                    error = (bits.value - 1 / (1 + np.exp(-mix))) * weight
-                    slope = np.stack([np.bincount(gate, error * column, minlength=_GATES) for column in inputs.T], axis=1)
-                    squares += slope**2
-                    model.weights = model.weights + RATE * slope / np.sqrt(squares)
-                    here += np.bincount(gate, weight, minlength=_GATES)
-                    bucket = np.rint((mix + 8) * (BUCKETS - 1) / 16).astype(np.int64)
-                    spot = gate * BUCKETS + bucket
-                    sums += np.bincount(spot, weight, minlength=sums.size).reshape(sums.shape)
-                    hits += np.bincount(spot, weight * bits.value, minlength=hits.size).reshape(hits.shape)
+                for bits, counted, cuts in _lessons(is_head, blob.as_py()):
+                    said, gates = model.inputs(bits, np.ones(len(bits.value)))
+                    counted, mixes = counted.astype(np.float64), np.empty(len(gates))
+                    for a, b in zip(cuts[:-1], cuts[1:]):
+                        inputs, gate = said[a:b], gates[a:b]
+                        mix = mixes[a:b] = model.mix(inputs, gate)
+                        error = (bits.value[a:b] - 1 / (1 + np.exp(-mix))) * counted[a:b]
+                        slope = np.stack([np.bincount(gate, error * column, minlength=_GATES) for column in inputs.T], axis=1)
+                        squares += slope**2
+                        model.weights = model.weights + RATE * slope / np.sqrt(squares)
+                    here += np.bincount(gates, counted, minlength=_GATES)
+                    spot = gates * BUCKETS + np.rint((mixes + 8) * (BUCKETS - 1) / 16).astype(np.int64)
+                    sums += np.bincount(spot, counted, minlength=sums.size).reshape(sums.shape)
+                    hits += np.bincount(spot, counted * bits.value, minlength=hits.size).reshape(hits.shape)
                 seen += here
                 weighted += model.weights * here[:, None]
         whole = np.concatenate([seen, weighted.reshape(-1), sums.reshape(-1), hits.reshape(-1)])
@@ -480,11 +549,10 @@ def score_texts(docs: DataFrame, key: str, text: str, held: Column, learn: Colum
                 data, lengths, place, owner = _tokens(words, len(long))
                 count, score = found_for(as_words(data, lengths.astype(np.int64)), shards, found, ("<i8", "<f4"))
                 add = lambda values: np.bincount(owner, values[place], minlength=len(n_words))
-                items, text_of = _heads(line, long)
-                order = np.argsort(items)
-                new = np.diff(items[order], prepend=~items[order[:1]]) != 0
-                (cost,) = found_in(_head_shard(items[order[new]], head_shards), head_found, ("<u2",))
-                result = add(score) - np.bincount(text_of[order], cost[np.cumsum(new) - 1], minlength=len(n_words)) / _STEPS
+                items, number, opened, opening, text_of = _distinct_heads(line, long)
+                (cost,) = found_in(_head_shard(items, head_shards), head_found, ("<u2",))
+                cost = np.bincount(opened, cost[number])  # of each opening
+                result = add(score) - np.bincount(text_of, cost[opening], minlength=len(n_words)) / _STEPS
                 columns = [
                     keys.column(0), keys.column(1), pa.array(n_words + 1), pa.array(add(1.0 * (count > 0)).astype(np.int64)), pa.array(np.full(len(n_words), tokens)),
                     pa.array(add(np.log10(count + 0.5)) - (n_words + 1) * floor), pa.array(result), pa.array(-result / np.log10(2) / long),

@@ -125,3 +125,32 @@ def test_heads_are_read_from_whole_lines():
                 want.append(((place << 56) | int.from_bytes(text[max(0, at - 6) : at + 1], "big"), i))
     items, text_of = mixing._heads(line, lengths)
     assert list(zip(items.tolist(), text_of.tolist())) == want
+
+
+def test_heads_are_formed_once_for_words_that_open_alike():
+    texts = ["the cat the cat the cats", "", "a cat the cat"] * 50
+    words = mixing.split(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)]), mixing.UNSPACED)
+    line, lengths = mixing._lines(words, words.data)
+    every, text_of_every = mixing._heads(line, lengths)
+    items, number, owner, opening, text_of = mixing._distinct_heads(line, lengths)
+    assert items.tolist() == sorted(set(every.tolist())) and len(number) < len(every) / 20
+    cost = np.arange(len(items)) + 1.0
+    want = np.bincount(text_of_every, cost[np.searchsorted(items, every)])
+    assert np.bincount(text_of, np.bincount(owner, cost[number])[opening]).tolist() == want.tolist()
+
+
+def test_bits_to_learn_from_are_formed_for_some_batches_at_once(monkeypatch):
+    """In the same batches as one by one; a long word doesn't make a group of many."""
+    words = sorted({f"word{i * 7919 % 100_003}" for i in range(1500)} | {"x" * 40_000, "y" * 40_000, "z" * 40_000})
+    spelled, lengths = np.frombuffer("".join(words).encode(), np.uint8), np.array([len(w) for w in words], "<i4")
+    train = (np.arange(len(words)) % 3).astype("<i8")
+    formed, form = [], mixing._Bits.__init__
+    monkeypatch.setattr(mixing._Bits, "__init__", lambda self, data, *a: formed.append(len(data)) or form(self, data, *a))
+    lessons = list(mixing._lessons(False, exchange.packed(spelled, lengths, train)))
+    batches = [b - a for _, _, cuts in lessons for a, b in zip(cuts[:-1], cuts[1:])]
+    tails = sum(8 * (len(w) - 5) for w, n in zip(words, train) if n)
+    assert sum(batches) == tails and min(batches) > 0
+    assert len(formed) < len(batches) / 2 and max(formed) < 80_000
+    items = np.sort(np.unique(mixing.mixed(np.arange(10_000, dtype=np.uint64)) & np.uint64((1 << 56) - 1)))
+    heads = list(mixing._lessons(True, exchange.packed(items, np.ones(len(items), "<i8"))))
+    assert len(heads) == 2 and [len(c) - 1 for *_, c in heads] == [16, 11] and all(c[-1] == len(b.value) for b, _, c in heads)
