@@ -1,8 +1,11 @@
 import random
 import re
 
+import numpy as np
+
 import corpus_pipeline as cp
-from tallyforge.llm import resemblance
+from tallyforge.llm import resemblance, simhash
+from tallyforge.llm.grouped import local_roots
 
 
 def shingles(text):
@@ -121,3 +124,53 @@ def test_recall_at_the_threshold(make):
     found = {r.doc_id: r.component_id for r in resemblance.resembling(make(rows, "doc_id long, text string")).collect()}
     assert len(pairs) > 100 and all(want[k] == root for k, root in found.items() if k != root)
     assert sum(found[k] != k for k in pairs) >= 0.9 * len(pairs)
+
+
+def test_fingerprints_choose_what_is_compared(make):
+    """Classes meet in a bin if their fingerprints are close, and otherwise not; nothing else of a text is looked at."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(200):
+        fp = rng.integers(0, 2, 256, np.uint8)
+        near, far = fp.copy(), fp.copy()
+        near[rng.permutation(256)[:20]] ^= 1
+        far[:128][rng.permutation(128)[:50]] ^= 1
+        rows += [(3 * i + j, 10, bytearray(np.packbits(x).tobytes())) for j, x in enumerate((fp, near, far))]
+    members = resemblance._members(make(rows, "cid long, n long, fp binary"), resemblance.BIN_SHINGLES).collect()
+    bins = {}
+    for r in members:
+        bins.setdefault(r.bin, []).append(r.cid)
+    assert sorted(sorted(b) for b in bins.values()) == [[3 * i, 3 * i + 1] for i in range(200)]
+
+
+def test_bits_differ_as_the_angle_between_sets():
+    """At a similarity of 0.8, 15 % of the bits; half of them where nothing is shared."""
+    rng = np.random.default_rng(4)
+    for size, shared in ((900, 800), (9, 8)):
+        one = rng.integers(0, 1 << 63, (300, size), np.uint64)
+        two = one.copy()
+        two[:, shared:] = rng.integers(0, 1 << 63, (300, size - shared), np.uint64)
+        fps = [simhash.wide_fingerprints(x.reshape(-1), np.arange(0, x.size + 1, size)) for x in (one, two)]
+        apart = np.bitwise_count(fps[0] ^ fps[1]).sum(axis=1)
+        assert 36 < apart.mean() < 42 and apart.max() <= resemblance.RADIUS
+        assert 124 < np.bitwise_count(fps[0][1:] ^ fps[1][:-1]).sum(axis=1).mean() < 132
+    # Texts side by side and without words change nothing.
+    starts = np.array([0, 0, 9, 9, 18])
+    fps = simhash.wide_fingerprints(one[:2].reshape(-1), starts)
+    alone = [simhash.wide_fingerprints(one[i], np.array([0, 9]))[0] for i in range(2)]
+    assert (fps[[0, 2]] == 0).all() and (fps[[1, 3]] == alone).all()
+
+
+def test_blocks_of_any_size_give_the_same():
+    """All that hangs together in a block, whether its members meet one by one or lag by lag."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(0, 1 << 63, (60, 2), np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (3000, 2, 9), np.uint64)
+    words = centres[rng.integers(0, 60, 3000)] ^ np.bitwise_xor.reduce(flips, axis=2)
+    block = np.minimum(rng.integers(0, 40, 3000), 20).astype(np.uint32)  # one block has half of them
+    one, two = (np.ascontiguousarray(x) for x in words.T)
+    near = np.bitwise_count(one[:, None] ^ one) + np.bitwise_count(two[:, None] ^ two) <= 20
+    want = local_roots(3000, *np.nonzero(near & (block[:, None] == block)))
+    got = simhash._close_in_blocks(block, one, two, 20)
+    assert (block == 20).sum() > simhash.LAGS
+    assert (local_roots(3000, *got) == want).all()
