@@ -95,19 +95,37 @@ def _heads(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return items[np.arange(HEAD) < size[:, None]], np.repeat(text_of, size)
 
 
-def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The place of one example of each distinct value, in the order of the values, and the number of every value in it."""
-    order = np.argsort(values)
-    new = np.diff(values[order], prepend=~values[order[:1]]) != 0
-    number = np.empty(len(values), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return order[new], number
+def _examples(values: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each value the place of one example of it, the same for equal values. `hashes` spread the values over a table; those that lose their slot to others try the next bits."""
+    out = np.empty(len(values), np.int32)
+    table = np.empty(1 << max(4, len(values).bit_length() + 1), np.int32)
+    todo, size = np.arange(len(values), dtype=np.int32), len(table)
+    while len(todo):
+        slot = (hashes & np.uint64(size - 1)).view(np.int64)
+        table[slot] = todo
+        example = table[slot]
+        same = values[example] == values[todo]
+        out[todo[same]] = example[same]
+        lost = ~same
+        todo, hashes = todo[lost], mixed(hashes[lost] + _ODD)
+    return out
+
+
+def _distinct(values: np.ndarray, ordered: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one example of each distinct value, in the order of the values if `ordered`, and the number of every value in it. Only distinct values are sorted."""
+    of = _examples(values, mixed(values))
+    place = np.flatnonzero(of == np.arange(len(values), dtype=np.int32))
+    if ordered:
+        place = place[np.argsort(values[place])]
+    number = np.empty(len(values), np.int32)
+    number[place] = np.arange(len(place), dtype=np.int32)
+    return place, number[of]
 
 
 def _distinct_heads(line: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The items of `_heads`, formed once for words that open alike: distinct items, sorted; for each item of each opening its place there and the opening; for each word its opening and its text."""
     before, first, size, text_of = _openings(line, lengths)
-    example, opening = _distinct(mixed(mixed(before) * _ODD + first))
+    example, opening = _distinct(mixed(mixed(before) * _ODD + first), ordered=False)
     before, first, size = before[example], first[example], size[example]
     items, number, owner, known = [], [], [], 0
     for place in range(HEAD):
@@ -367,7 +385,7 @@ def _slot_counts(vocabulary: DataFrame) -> list[np.ndarray]:
                 tables = tables or [np.zeros(2 * s) for s in sizes]
                 for _, bits, weight in _items(is_head, blob.as_py(), _WORDS_AT_ONCE):
                     for table, slot in zip(tables, bits.slots):
-                        table += np.bincount(2 * slot + bits.value, weight.astype(np.float64), minlength=len(table))
+                        np.add.at(table, 2 * slot + bits.value, weight.astype(np.float64))  # in place: tables are larger than a batch
         for which, table in enumerate(tables or []):
             for chunk in range(0, len(table), CHUNK):
                 part = table[chunk : chunk + CHUNK].astype("<i8")

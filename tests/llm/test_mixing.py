@@ -154,3 +154,16 @@ def test_bits_to_learn_from_are_formed_for_some_batches_at_once(monkeypatch):
     items = np.sort(np.unique(mixing.mixed(np.arange(10_000, dtype=np.uint64)) & np.uint64((1 << 56) - 1)))
     heads = list(mixing._lessons(True, exchange.packed(items, np.ones(len(items), "<i8"))))
     assert len(heads) == 2 and [len(c) - 1 for *_, c in heads] == [16, 11] and all(c[-1] == len(b.value) for b, _, c in heads)
+
+
+def test_distinct_values_are_numbered_in_order():
+    """Equal values get equal numbers, also where hashes meet in a slot; only what is distinct is sorted."""
+    rng = np.random.default_rng(6)
+    for values in (np.empty(0, np.uint64), np.array([5], np.uint64), rng.choice(rng.integers(0, 1 << 63, 700, np.uint64), 5000)):
+        known, want = np.unique(values, return_inverse=True)
+        place, number = mixing._distinct(values)
+        assert (values[place] == known).all() and (number == want).all()
+        place, number = mixing._distinct(values, ordered=False)
+        assert (values[place][number] == values).all() and len(place) == len(known)
+        of = mixing._examples(values, np.zeros(len(values), np.uint64))  # all in one slot at first
+        assert (values[of] == values).all() and len(np.unique(of)) == len(known)
