@@ -214,34 +214,34 @@ def blocks_for(rows: int) -> tuple[int, int]:
     return bits, ceil(BLOCK_KINDS * KINDS_GROWTH ** (bits - BLOCK_BITS))
 
 
-def _close_in_blocks(block: np.ndarray, one: np.ndarray, two: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between places that are in the same block and differ in at most `radius` bits of their two words: not all, but all that hangs together."""
+def links_in_blocks(block: np.ndarray, close) -> tuple[np.ndarray, np.ndarray]:
+    """Links between places that are in the same block and `close`: not all, but all that hangs together. `close` takes two arrays of places, or one place and an array."""
     order = np.argsort(block, kind="stable")
     cuts = np.flatnonzero(np.diff(block[order])) + 1
     sizes = np.diff(np.concatenate([[0], cuts, [len(order)]]))
     small = np.repeat(sizes, sizes) <= LAGS
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     at = order[small]
-    blocks, x, y = block[at], one[at], two[at]
+    blocks = block[at]
     for lag in range(1, LAGS):
         i = np.flatnonzero(blocks[lag:] == blocks[:-lag])
         if not len(i):
             break
-        close = np.bitwise_count(x[i] ^ x[i + lag]) + np.bitwise_count(y[i] ^ y[i + lag]) <= radius
-        a.append(at[i[close]])
-        b.append(at[i[close] + lag])
+        i = i[close(at[i], at[i + lag])]
+        a.append(at[i])
+        b.append(at[i + lag])
     for at in np.split(order, cuts):
         if len(at) <= LAGS:
             continue
         # A large block: each member meets those that it does not hang together with yet.
-        x, y, root, others = one[at], two[at], np.arange(len(at)), None
+        root, others = np.arange(len(at)), None
         for i in range(len(at)):
             if others is None or root[i] != of:
                 of, others = root[i], np.flatnonzero(root != root[i])
             if not len(others):
                 break
             j = others[np.searchsorted(others, i) :]
-            j = j[np.bitwise_count(x[i] ^ x[j]) + np.bitwise_count(y[i] ^ y[j]) <= radius]
+            j = j[close(at[i], at[j])]
             if len(j):
                 joined = np.isin(root, np.append(root[j], root[i]))
                 root[joined], others = root[joined].min(), None
@@ -250,6 +250,14 @@ def _close_in_blocks(block: np.ndarray, one: np.ndarray, two: np.ndarray, radius
     return np.concatenate(a), np.concatenate(b)
 
 
+def _close_in_blocks(block: np.ndarray, one: np.ndarray, two: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """`links_in_blocks` of what differs in at most `radius` bits of two words."""
+    order = np.argsort(block, kind="stable")
+    x, y = one[order], two[order]
+    a, b = links_in_blocks(block[order], lambda i, j: np.bitwise_count(x[i] ^ x[j]) + np.bitwise_count(y[i] ^ y[j]) <= radius)
+    return order[a], order[b]
+
+
 def close_links(rows: DataFrame, radius: int) -> DataFrame:
     """Links `a`, `b` of rows (`cid`, a number for each, and `fp`, a wide fingerprint) that share a block and differ in at most `radius` of the first 128 bits.
 
