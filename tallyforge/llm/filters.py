@@ -27,8 +27,8 @@ def build(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
         .mapInArrow(places, "place long")
         .groupBy(F.shiftright("place", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("value"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(bits // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["value"].to_numpy(np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["value"].to_numpy().view(np.uint64)
     return out

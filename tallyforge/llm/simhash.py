@@ -30,6 +30,7 @@ _HASHES_AT_ONCE = 1 << 17
 FP_WORDS = 4
 BLOCK_BITS, BLOCK_KINDS, BLOCK_ROWS, KINDS_GROWTH = 14, 64, 256, 1.22
 GROUP_ROWS, LAGS = 1 << 16, 1 << 10
+_KINDS_AT_ONCE = 8  # in one batch from a task
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -277,6 +278,9 @@ def close_links(rows: DataFrame, radius: int) -> DataFrame:
         columns = [np.ascontiguousarray(flags.T[spot]) for spot in range(FP_WORDS * 64)]
         keys, packed = [], ([], [], [])
         for kind, spots in enumerate(chosen):
+            if kind and kind % _KINDS_AT_ONCE == 0:
+                yield as_batch(keys, packed)
+                keys, packed = [], ([], [], [])
             block = np.zeros(len(cids), np.uint32)
             for spot in spots:
                 block = (block << np.uint32(1)) | columns[spot]
@@ -287,6 +291,9 @@ def close_links(rows: DataFrame, radius: int) -> DataFrame:
                 keys.append((kind << 32) + value)
                 for out, array in zip(packed, (block, cids, words[:, :2])):
                     out.append(array[part].tobytes())
+        yield as_batch(keys, packed)
+
+    def as_batch(keys, packed):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(x, pa.binary()) for x in packed)], ["kind", "block", "cids", "fps"])
 
     def send(batches):
@@ -295,12 +302,12 @@ def close_links(rows: DataFrame, radius: int) -> DataFrame:
             for at in range(0, batch.num_rows, GROUP_ROWS):
                 part = batch.slice(at, GROUP_ROWS)
                 if rows + part.num_rows > GROUP_ROWS:
-                    yield sent(*_both(held))
+                    yield from sent(*_both(held))
                     held, rows = [], 0
                 held.append(part)
                 rows += part.num_rows
         if rows:
-            yield sent(*_both(held))
+            yield from sent(*_both(held))
 
     def _both(held):
         return np.concatenate([x.column(0).to_numpy() for x in held]), np.concatenate([words_of(x.column(1)) for x in held], axis=1)
